@@ -28,12 +28,23 @@ def result_rows(names: list[str], rows: list) -> list[str]:
     return sorted(repr([row[i] for i in order]) for row in rows)
 
 
+# Spark type -> the type DuckDB reports for the same column.
+TYPES = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def differences(spark: SparkSession, connection: duckdb.DuckDBPyConnection, folder: str, name: str) -> list[str]:
     """What differs between a query and its SQL; empty if nothing does."""
     found = registered()[name](spark, folder)
     expected = connection.sql(oracle()[name])
     if sorted(found.columns) != sorted(expected.columns):
         return [f"columns {sorted(found.columns)} != {sorted(expected.columns)}"]
+    types = {name: str(dtype) for name, dtype in zip(expected.columns, expected.types)}
+    wrong = [f"{name} {dtype} != {types[name]}" for name, dtype in found.dtypes if TYPES[dtype] != types[name]]
+    if wrong:
+        return wrong
     left = result_rows(found.columns, [tuple(row) for row in found.collect()])
     right = result_rows(expected.columns, expected.fetchall())
     if len(left) != len(right):

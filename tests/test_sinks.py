@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import json
+from collections import Counter
+
+import pytest
+from conftest import machine, worker
+
+from floorline.contracts import LAYERS
+from floorline.operators.contract import ContractError
+from floorline.plans.layers import build_layer
+from floorline.sinks.batch import Batch
+from floorline.sinks.lake import LakeSink, read_lake
+from floorline.sinks.relational import RelationalSink
+from floorline.sinks.search import SearchSink
+from floorline.sinks.topic import TopicSink
+from floorline.sources.raw import read_topic, spread, topic_options
+from floorline.streaming.datasets import DATASETS, dataset
+
+
+def test_nineteen_datasets_with_unique_names_and_known_layers():
+    assert len(DATASETS) == len({d.name for d in DATASETS}) == 19
+    assert Counter(d.domain for d in DATASETS) == {"machine": 10, "worker": 9}
+    assert Counter(d.store for d in DATASETS) == {"lake": 6, "relational": 8, "search": 4, "topic": 1}
+    assert sum(d.trigger == "2 seconds" for d in DATASETS) == 7
+    assert {d.output_mode for d in DATASETS if d.layer == "gold"} == {"update"}
+    assert all((d.domain, d.layer) in LAYERS for d in DATASETS)
+
+
+def test_lake_batches_are_replaced_not_added_to(spark, raw, tmp_path):
+    target, sink = dataset("machine_silver_lake"), LakeSink(str(tmp_path))
+    silver = build_layer(raw(machine(event_id="a"), machine(event_id="b")), "machine", "silver")
+    sink.write(silver, target, Batch("q1", 0))
+    sink.write(silver, target, Batch("q1", 0))
+    assert read_lake(spark, str(tmp_path), "machine", "silver").count() == 2
+    sink.write(silver, target, Batch("q1", 1))
+    sink.write(silver, target, Batch("q2", 0))
+    stored = read_lake(spark, str(tmp_path), "machine", "silver", revisions=True)
+    assert stored.count() == 6
+    assert {tuple(r) for r in stored.select("query_id", "batch_id").collect()} == {("q1", 0), ("q1", 1), ("q2", 0)}
+
+
+def test_lake_rows_come_back_unchanged_and_days_can_be_skipped(spark, raw, tmp_path):
+    silver = build_layer(
+        raw(machine(timestamp="2024-01-01T00:00:00Z"), machine(timestamp="2024-01-02T00:00:00Z")),
+        "machine", "silver",
+    )
+    LakeSink(str(tmp_path)).write(silver, dataset("machine_silver_lake"), Batch("q", 0))
+    stored = read_lake(spark, str(tmp_path), "machine", "silver")
+    assert stored.dtypes == silver.dtypes
+    assert sorted(stored.collect()) == sorted(silver.collect())
+    day = stored.where("event_date = DATE '2024-01-02'")
+    assert day.count() == 1
+    assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lake_refuses_rows_without_the_layer_columns(raw, tmp_path):
+    bronze = build_layer(raw(worker()), "worker", "bronze")
+    with pytest.raises(ContractError, match="heart_rate_status"):
+        LakeSink(str(tmp_path)).write(bronze, dataset("worker_silver_lake"), Batch("q", 0))
+
+
+def test_relational_options_and_hidden_password():
+    sink = RelationalSink("jdbc:postgresql://host/db", "me", "secret", connections=4, extra={"batchsize": "5000"})
+    options = sink.options("worker_safety_gold")
+    assert options["dbtable"] == "worker_safety_gold"
+    assert (options["numPartitions"], options["batchsize"]) == ("4", "5000")
+    assert options["createTableColumnTypes"].endswith("avg_fatigue_score DOUBLE")
+    assert "secret" not in repr(sink)
+
+
+def test_topic_documents_and_options(raw):
+    sink, target = TopicSink("a:1,b:2"), dataset("machine_silver_topic")
+    assert sink.options(target.target) == {"kafka.bootstrap.servers": "a:1,b:2", "topic": "sensor-processed"}
+    rows = sink.documents(build_layer(raw(machine()), "machine", "silver"), target)
+    assert rows.columns == ["value"] and json.loads(rows.first().value)["machine_id"] == "CNC_01"
+
+
+def test_search_options():
+    options = SearchSink("host", extra={"es.mapping.id": "event_id"}).options()
+    assert options == {
+        "es.nodes": "host", "es.port": "9200", "es.index.auto.create": "true", "es.mapping.id": "event_id",
+    }
+
+
+def test_topic_source_options():
+    assert topic_options("a:1", "sensor-events") == {
+        "kafka.bootstrap.servers": "a:1", "subscribe": "sensor-events", "startingOffsets": "latest",
+    }
+
+
+def test_topic_source_needs_its_connector(spark):
+    """The connector jar is not part of Spark; without it the format is unknown."""
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_topic(spark, "a:1", "sensor-events")
+
+
+def test_small_scans_are_spread_and_wide_ones_left_alone(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spread(spark.read.parquet(f"{tmp_path}/one"))
+    assert one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, 1, 64)
+    assert spread(wide) is wide
