@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.streams import lateness, run_slices, slice_bounds
+from checks.streams import LATENESS, run_slices, slice_bounds
 from floorline.contracts import GOLD_KEYS, MACHINE_SILVER, RELATIONAL_TABLES, SEARCH_INDEXES
 from floorline.functions.text import to_json_value
 from floorline.operators.enrich import machine_columns, worker_columns
@@ -160,7 +160,7 @@ def _stream_gold(domain: str, late: bool = False) -> Query:
     """Gold kept up to date by a stream, newest revision of each window."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        delay = lateness() if late else None
+        delay = LATENESS if late else None
         root = run_slices(spark, events_of(spark, folder), domain, {"gold"}, delay)
         changelog = read_lake(spark, root, domain, "gold", revisions=True)
         return comparable(latest_revision(changelog, GOLD_KEYS[domain]).drop("query_id", "batch_id"))

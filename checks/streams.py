@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from floorline.sinks.lake import LakeSink
@@ -16,13 +16,7 @@ SLICES = 3
 WIRE_FILES = "event_id BIGINT, value BINARY"
 
 # How much earlier than it arrives an event of the late-data query happened.
-LATE_FROM_K = 80
-HOURS_PER_K = 5
-
-
-def lateness() -> Column:
-    hours = F.when(F.col("k") >= LATE_FROM_K, (F.col("k") - LATE_FROM_K) * HOURS_PER_K).otherwise(0)
-    return F.make_dt_interval(hours=hours)
+LATENESS = "make_dt_interval(0, CASE WHEN k >= 80 THEN (k - 80) * 5 ELSE 0 END)"
 
 
 def slice_bounds(events: DataFrame) -> list[tuple[int, int]]:
@@ -38,7 +32,7 @@ def run_slices(
     events: DataFrame,
     domain: str,
     layers: set[str],
-    delay: Column | None = None,
+    delay: str | None = None,
 ) -> str:
     """Feed all events slice by slice to the streams of a domain; returns the lake root.
 

@@ -28,6 +28,10 @@ class LakeSink:
     def write(self, rows: DataFrame, dataset: Dataset, batch: Batch) -> None:
         chosen = require_columns(rows, dataset.columns, dataset.name)
         keys = [name for name in self.partition_by.get(dataset.layer, ()) if name in chosen.columns]
+        if keys:
+            # Without this every task writes a file per day.  Rebalancing brings
+            # a day together but still splits days too large for one task.
+            chosen = chosen.hint("rebalance", *keys)
         chosen.write.mode("overwrite").partitionBy(*keys).parquet(
             f"{self.root}/{dataset.target}/query_id={batch.query_id}/batch_id={batch.batch_id}"
         )

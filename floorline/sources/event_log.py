@@ -4,139 +4,92 @@ Turns an ``events(event_id, ts, user_id, event_type, value, props)`` table into
 the JSON documents machines and workers send, dirty ones included, so that the
 whole decode path can be run on any such table.  Every field is a function of the
 row alone: no shuffle, no ordering, any number of files.
+
+``n`` is the event id, ``k`` the number in ``props`` and ``at`` the event time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floorline.functions.labels import first_match
 from floorline.functions.once import expand_once
 
-# Fixed values of the mapping.
-FIRST_EVENT = 1704067200  # 2024-01-01T00:00:00Z
-EVENTS_PER_HOUR = 40
-SECONDS_APART = 3
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-MACHINES = (
-    # machine_id, machine_type, floor
-    ("CNC_01", "cnc_machine", "A"),
-    ("ROB_01", "robot_arm", "B"),
-    ("CNV_01", "conveyor_belt", "C"),
-    ("PMP_01", "pump", "A"),
-)
-PLACES = (("A", "ZONE_1"), ("B", "ZONE_2"), ("C", "ZONE_3"), ("A", "ZONE_1"))
-MOVEMENTS = ("ACTIVE", "IDLE", "WALKING")
-NOT_JSON = "not json"
-NOT_A_TIME = "garbage"
-
-
-
-def _pick(values: tuple, index: Column) -> Column:
-    """``values[index]`` as one CASE over literals."""
-    return first_match([(index == i, F.lit(value)) for i, value in enumerate(values)])
-
-
-def event_time(event_id: Column) -> Column:
-    hours = F.floor(event_id / EVENTS_PER_HOUR)
-    return F.timestamp_seconds(
-        F.lit(FIRST_EVENT) + hours * 3600 + event_id % EVENTS_PER_HOUR * SECONDS_APART
+# Fixed values of the mapping: 40 events an hour, three seconds apart, from
+# 2024-01-01T00:00:00Z on; some values of ``k`` stand for one kind of dirt each.
+_EVENT_TIME = "timestamp_seconds(1704067200 + n div 40 * 3600 + n % 40 * 3)"
+_K = "CAST(get_json_object(props, '$.k') AS INT)"
+
+_WIRE_TIME = """
+    CASE k WHEN 11 THEN NULL WHEN 12 THEN 'garbage'
+           ELSE date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") END"""
+
+_MACHINE = f"""named_struct(
+    'event_id', concat('EV_', n),
+    'timestamp', {_WIRE_TIME},
+    'machine_id', CASE k WHEN 9 THEN '' WHEN 10 THEN NULL
+                  ELSE element_at(array('CNC_01', 'ROB_01', 'CNV_01', 'PMP_01'), CAST(n % 4 + 1 AS INT)) END,
+    'machine_type', element_at(array('cnc_machine', 'robot_arm', 'conveyor_belt', 'pump'), CAST(n % 4 + 1 AS INT)),
+    'floor', element_at(array('A', 'B', 'C', 'A'), CAST(n % 4 + 1 AS INT)),
+    'shift', CASE WHEN hour(at) BETWEEN 6 AND 13 THEN 'morning'
+                  WHEN hour(at) BETWEEN 14 AND 21 THEN 'evening' ELSE 'night' END,
+    'status', CASE WHEN k = 8 THEN 'BROKEN_STATUS' WHEN event_type = 'error' THEN 'fault'
+                   WHEN event_type = 'view' THEN 'idle' ELSE 'running' END,
+    'error_code', CASE WHEN event_type = 'error' THEN concat('E00', 1 + user_id % 8) END,
+    'is_fault', CASE WHEN k <> 56 THEN event_type = 'error' END,
+    'metrics', named_struct(
+        'temperature', CASE WHEN k IN (0, 1, 2) THEN NULL WHEN k IN (3, 4) THEN 999D ELSE 50D + value * 0.5D END,
+        'vibration', CASE WHEN k <> 55 THEN 1.5D + k % 50 / 10D END,
+        'rpm', CASE k WHEN 5 THEN -500D WHEN 6 THEN NULL ELSE CAST(900 + n % 600 AS DOUBLE) END,
+        'power_kw', CASE k WHEN 7 THEN -5D ELSE 1.5D + n % 50 / 10D END),
+    'cnc_sensors', CASE n % 4 WHEN 0 THEN named_struct(
+        'oil_level_pct', CAST(k AS DOUBLE), 'coolant_pressure_bar', CAST(n % 100 AS DOUBLE)) END,
+    'robot_sensors', CASE n % 4 WHEN 1 THEN named_struct(
+        'joint_torque_nm', CAST(k AS DOUBLE), 'end_effector_force_n', CAST(n % 100 AS DOUBLE)) END,
+    'conveyor_sensors', CASE n % 4 WHEN 2 THEN named_struct(
+        'belt_tension_n', CAST(k AS DOUBLE), 'load_weight_kg', CAST(n % 100 AS DOUBLE)) END,
+    'pump_sensors', CASE n % 4 WHEN 3 THEN named_struct(
+        'oil_level_pct', CAST(k AS DOUBLE), 'flow_rate_lpm', CAST(k AS DOUBLE),
+        'inlet_pressure_bar', CAST(n % 100 AS DOUBLE)) END)"""
+
+_WORKER = f"""named_struct(
+    'worker_id', CASE k WHEN 9 THEN '' WHEN 10 THEN NULL ELSE concat('W00', 1 + n % 4) END,
+    'timestamp', {_WIRE_TIME},
+    'floor', element_at(array('A', 'B', 'C', 'A'), CAST(n % 4 + 1 AS INT)),
+    'zone_id', element_at(array('ZONE_1', 'ZONE_2', 'ZONE_3', 'ZONE_1'), CAST(n % 4 + 1 AS INT)),
+    'helmet_on', value >= 2,
+    'safety_vest_on', CASE WHEN k <> 55 THEN value < 150 END,
+    'heart_rate', CASE k WHEN 5 THEN -20 WHEN 6 THEN NULL ELSE 60 + k % 70 END,
+    'movement_status', CASE k WHEN 8 THEN 'FLYING'
+                       ELSE element_at(array('ACTIVE', 'IDLE', 'WALKING'), CAST(n % 3 + 1 AS INT)) END,
+    'danger_zone', CASE WHEN k <> 56 THEN event_type = 'error' END,
+    'fatigue_score', CASE WHEN k <> 57 THEN 10 + n * 7 % 91 END)"""
+
+
+def _payloads(events: DataFrame, document: str, delay: str | None) -> DataFrame:
+    at = f"{_EVENT_TIME} - {delay}" if delay else _EVENT_TIME
+    keyed = expand_once(
+        events,
+        F.expr(f"named_struct('n', event_id, 'user_id', user_id, 'event_type', event_type, 'value', value, 'k', {_K})"),
     )
-
-
-def _prepared(events: DataFrame, delay: Column | None) -> DataFrame:
-    """The columns the documents use, plus ``k`` and the event time ``at``."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    keyed = expand_once(events, F.struct("event_id", "user_id", "event_type", "value", k.alias("k")))
-    at = event_time(F.col("event_id"))
-    return keyed.withColumn("at", at if delay is None else at - delay)
-
-
-def _wire_time(k: Column, at: Column) -> Column:
-    return first_match(
-        [(k == 11, F.lit(None).cast("string")), (k == 12, F.lit(NOT_A_TIME))],
-        F.date_format(at, ISO_MICROS),
+    timed = keyed.selectExpr("*", f"{at} AS at")
+    return timed.selectExpr(
+        "n AS event_id", f"CAST(CASE k WHEN 13 THEN 'not json' ELSE to_json({document}) END AS BINARY) AS value"
     )
 
 
-def _identity(k: Column, name: Column) -> Column:
-    return first_match([(k == 9, F.lit("")), (k == 10, F.lit(None).cast("string"))], name)
-
-
-def _payload(prepared: DataFrame, document: Column) -> DataFrame:
-    text = F.when(F.col("k") == 13, NOT_JSON).otherwise(F.to_json(document))
-    return prepared.select("event_id", text.cast("binary").alias("value"))
-
-
-def machine_payloads(events: DataFrame, delay: Column | None = None) -> DataFrame:
+def machine_payloads(events: DataFrame, delay: str | None = None) -> DataFrame:
     """``(event_id, value)``: one machine document per event.
 
-    ``delay`` is an interval, possibly a function of ``k``, by which an event
-    happened earlier than it arrives.
+    ``delay`` is an interval in SQL, possibly a function of ``n`` and ``k``, by
+    which an event happened earlier than it arrives.
     """
-    k, n, at = F.col("k"), F.col("event_id"), F.col("at")
-    machine = n % len(MACHINES)
-    ids, types, floors = zip(*MACHINES)
-    is_error = F.col("event_type") == "error"
-    hour = F.hour(at)
-    reading, other = k.cast("double"), (n % 100).cast("double")
-
-    def block(position: int, **sensors: Column) -> Column:
-        fields = F.struct(*(value.alias(name) for name, value in sensors.items()))
-        return F.when(machine == position, fields)
-
-    document = F.struct(
-        F.concat(F.lit("EV_"), n.cast("string")).alias("event_id"),
-        _wire_time(k, at).alias("timestamp"),
-        _identity(k, _pick(ids, machine)).alias("machine_id"),
-        _pick(types, machine).alias("machine_type"),
-        _pick(floors, machine).alias("floor"),
-        first_match([(hour.between(6, 13), "morning"), (hour.between(14, 21), "evening")], "night").alias("shift"),
-        first_match(
-            [(k == 8, "BROKEN_STATUS"), (is_error, "fault"), (F.col("event_type") == "view", "idle")],
-            "running",
-        ).alias("status"),
-        F.when(is_error, F.concat(F.lit("E00"), (1 + F.col("user_id") % 8).cast("string"))).alias("error_code"),
-        F.when(k != 56, is_error).alias("is_fault"),
-        F.struct(
-            first_match(
-                [(k <= 2, F.lit(None).cast("double")), (k <= 4, F.lit(999.0))],
-                F.lit(50.0) + F.col("value") * 0.5,
-            ).alias("temperature"),
-            F.when(k != 55, F.lit(1.5) + (k % 50) / 10.0).alias("vibration"),
-            first_match(
-                [(k == 5, F.lit(-500.0)), (k == 6, F.lit(None).cast("double"))],
-                (900 + n % 600).cast("double"),
-            ).alias("rpm"),
-            F.when(k == 7, F.lit(-5.0)).otherwise(F.lit(1.5) + (n % 50) / 10.0).alias("power_kw"),
-        ).alias("metrics"),
-        block(0, oil_level_pct=reading, coolant_pressure_bar=other).alias("cnc_sensors"),
-        block(1, joint_torque_nm=reading, end_effector_force_n=other).alias("robot_sensors"),
-        block(2, belt_tension_n=reading, load_weight_kg=other).alias("conveyor_sensors"),
-        block(3, oil_level_pct=reading, flow_rate_lpm=reading, inlet_pressure_bar=other).alias("pump_sensors"),
-    )
-    return _payload(_prepared(events, delay), document)
+    return _payloads(events, _MACHINE, delay)
 
 
-def worker_payloads(events: DataFrame, delay: Column | None = None) -> DataFrame:
+def worker_payloads(events: DataFrame, delay: str | None = None) -> DataFrame:
     """``(event_id, value)``: one worker document per event; ``delay`` as above."""
-    k, n, at = F.col("k"), F.col("event_id"), F.col("at")
-    floors, zones = zip(*PLACES)
-    place = n % len(PLACES)
-    document = F.struct(
-        _identity(k, F.concat(F.lit("W00"), (1 + n % 4).cast("string"))).alias("worker_id"),
-        _wire_time(k, at).alias("timestamp"),
-        _pick(floors, place).alias("floor"),
-        _pick(zones, place).alias("zone_id"),
-        (F.col("value") >= 2).alias("helmet_on"),
-        F.when(k != 55, F.col("value") < 150).alias("safety_vest_on"),
-        first_match([(k == 5, F.lit(-20)), (k == 6, F.lit(None).cast("int"))], 60 + k % 70).alias("heart_rate"),
-        F.when(k == 8, "FLYING").otherwise(_pick(MOVEMENTS, n % len(MOVEMENTS))).alias("movement_status"),
-        F.when(k != 56, F.col("event_type") == "error").alias("danger_zone"),
-        F.when(k != 57, (10 + n * 7 % 91).cast("int")).alias("fatigue_score"),
-    )
-    return _payload(_prepared(events, delay), document)
+    return _payloads(events, _WORKER, delay)
 
 
 PAYLOADS = {"machine": machine_payloads, "worker": worker_payloads}
