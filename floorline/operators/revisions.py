@@ -13,7 +13,9 @@ def latest_revision(changelog: DataFrame, keys: Sequence[str], order: str = "bat
 
     An update-mode stream stores a window again each time it changes.  The
     newest revision is picked by an aggregate, so the copies of one key are
-    combined before the shuffle and never gathered.
+    combined before the shuffle and never gathered.  Batch ids rise within one
+    ``query_id`` only: give a changelog written by several checkpoints an order
+    of its own.
     """
     newest = F.max_by(F.struct(*changelog.columns), order).alias("newest")
     return changelog.groupBy(*keys).agg(newest).select("newest.*")

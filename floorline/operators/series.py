@@ -18,13 +18,14 @@ def bucket_spine(rows: DataFrame, ts: str, interval: str) -> DataFrame:
     span is spread over tasks instead of being built as a single array.
     """
     bounds = (
-        rows.select(F.window(ts, interval).alias("w"))
+        rows.agg(F.min(ts).alias("earliest"), F.max(ts).alias("latest"))
+        .select(F.window("earliest", interval).alias("w"), "latest")
         .select(
-            F.unix_micros("w.start").alias("start"),
+            F.unix_micros("w.start").alias("first"),
             (F.unix_micros("w.end") - F.unix_micros("w.start")).alias("step"),
+            F.unix_micros("latest").alias("latest"),
         )
-        .agg(F.min("start").alias("first"), F.max("start").alias("last"), F.max("step").alias("step"))
-        .withColumn("gaps", F.expr("(last - first) div step"))
+        .withColumn("gaps", F.expr("(latest - first) div step"))
     )
     blocks = bounds.select(
         "*", F.explode(F.expr(f"sequence(0L, gaps div {SPINE_BLOCK})")).alias("block")

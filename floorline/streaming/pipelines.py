@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -30,6 +31,9 @@ from floorline.streaming.datasets import DATASETS, Dataset
 
 log = logging.getLogger(__name__)
 
+# Writes of one batch that run at the same time.
+CONCURRENT_WRITES = 4
+
 Outputs = list[tuple[Dataset, "Sink"]]
 Derive = Callable[[DataFrame], Mapping[str, DataFrame]]
 
@@ -41,25 +45,34 @@ class Sink(Protocol):
 def _writer(derive: Derive, outputs: Outputs) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: every output of one batch, or an error.
 
-    An error ends the query; after a restart the whole batch is run again.
+    Outputs are written side by side, as most wait on different stores.  An error
+    ends the query once the other writes of the batch are through; after a restart
+    the whole batch is run again.
     """
 
+    def write_one(rows: DataFrame, dataset: Dataset, sink: Sink, batch: Batch) -> None:
+        try:
+            sink.write(rows, dataset, batch)
+        except Exception:
+            log.exception("%s: batch %s not written", dataset.name, batch.batch_id)
+            raise
+
     def write(rows: DataFrame, batch_id: int) -> None:
         batch = current_batch(rows, batch_id)
-        shared = len(outputs) > 1
-        if shared:
-            rows.persist(StorageLevel.MEMORY_AND_DISK)
+        if len(outputs) == 1:
+            [(dataset, sink)] = outputs
+            return write_one(derive(rows)[dataset.layer], dataset, sink, batch)
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             derived = derive(rows)
-            for dataset, sink in outputs:
-                try:
-                    sink.write(derived[dataset.layer], dataset, batch)
-                except Exception:
-                    log.exception("%s: batch %s not written", dataset.name, batch.batch_id)
-                    raise
+            # The threads' Spark jobs belong to the query and stop with it.
+            job = inheritable_thread_target(rows.sparkSession)(write_one)
+            with ThreadPoolExecutor(min(len(outputs), CONCURRENT_WRITES)) as pool:
+                writes = [pool.submit(job, derived[d.layer], d, sink, batch) for d, sink in outputs]
+            for done in writes:
+                done.result()
         finally:
-            if shared:
-                rows.unpersist()
+            rows.unpersist()
 
     return write
 

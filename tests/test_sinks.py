@@ -101,3 +101,10 @@ def test_small_scans_are_spread_and_wide_ones_left_alone(spark, tmp_path):
     assert one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, 1, 64)
     assert spread(wide) is wide
+
+
+def test_relational_reads_are_sliced_by_time():
+    sink = RelationalSink("jdbc:postgresql://host/db", "me", "secret", connections=8)
+    options = sink.read_options("worker_safety_gold", "2024-01-01 00:00:00", "2024-02-01 00:00:00")
+    assert (options["partitionColumn"], options["numPartitions"]) == ("window_start", "8")
+    assert sink.read_options("machine_events_silver", "a", "b")["partitionColumn"] == "timestamp"
