@@ -26,7 +26,7 @@ HEADLINE = (
     "machine_gold",
     "worker_gold",
     "machine_silver_json",
-    "search_machine_events",
+    "machine_events_index",
     "worker_events_silver_view",
     "median_temperature",
     "median_vibration",

@@ -235,23 +235,23 @@ STEPS = {
 
 MACHINE_EVENT = (
     'event_id, "timestamp", machine_id, machine_type, floor, shift, status, error_code, is_fault, '
-    "round(temperature, 6) AS temperature, round(vibration, 6) AS vibration, round(rpm, 6) AS rpm, "
-    "round(power_kw, 6) AS power_kw, cnc_oil, coolant_pressure, joint_torque, force, belt_tension, "
+    "round(temperature, 7) AS temperature, round(vibration, 7) AS vibration, round(rpm, 7) AS rpm, "
+    "round(power_kw, 7) AS power_kw, cnc_oil, coolant_pressure, joint_torque, force, belt_tension, "
     "load_weight, flow_rate, inlet_pressure"
 )
 MACHINE_EXTRA = (
     "temperature_status, vibration_status, fault_flag, event_date, event_hour, "
-    "round(health_score, 6) AS health_score, round(risk_score, 6) AS risk_score, running_flag, "
+    "round(health_score, 7) AS health_score, round(risk_score, 7) AS risk_score, running_flag, "
     "fault_category, power_status, time_bucket, anomaly_flag"
 )
 MACHINE_AGGREGATES = (
-    "machine_id, window_start, window_end, round(avg_temp, 6) AS avg_temp, round(avg_rpm, 6) AS avg_rpm, "
-    "round(avg_vibration, 6) AS avg_vibration, round(avg_power, 6) AS avg_power, "
-    "round(avg_health_score, 6) AS avg_health_score, round(min_health_score, 6) AS min_health_score, "
-    "fault_count, round(fault_percentage, 6) AS fault_percentage, total_events, "
-    "round(max_temp, 6) AS max_temp, round(max_vibration, 6) AS max_vibration, "
-    "round(peak_power, 6) AS peak_power, round(avg_risk_score, 6) AS avg_risk_score, "
-    "round(uptime_percentage, 6) AS uptime_percentage"
+    "machine_id, window_start, window_end, round(avg_temp, 7) AS avg_temp, round(avg_rpm, 7) AS avg_rpm, "
+    "round(avg_vibration, 7) AS avg_vibration, round(avg_power, 7) AS avg_power, "
+    "round(avg_health_score, 7) AS avg_health_score, round(min_health_score, 7) AS min_health_score, "
+    "fault_count, round(fault_percentage, 7) AS fault_percentage, total_events, "
+    "round(max_temp, 7) AS max_temp, round(max_vibration, 7) AS max_vibration, "
+    "round(peak_power, 7) AS peak_power, round(avg_risk_score, 7) AS avg_risk_score, "
+    "round(uptime_percentage, 7) AS uptime_percentage"
 )
 WORKER_EVENT = (
     'worker_id, "timestamp", floor, zone_id, helmet_on, safety_vest_on, heart_rate, movement_status, '
@@ -260,7 +260,7 @@ WORKER_EVENT = (
 WORKER_EXTRA = "safety_violation_flag, fatigue_status, worker_risk_level, alert_level, heart_rate_status"
 WORKER_AGGREGATES = (
     "worker_id, window_start, window_end, violations_per_window, workers_in_danger_zone, "
-    "round(avg_fatigue_score, 6) AS avg_fatigue_score"
+    "round(avg_fatigue_score, 7) AS avg_fatigue_score"
 )
 
 # Relational tables keep the fatigue score as a double.
@@ -294,8 +294,8 @@ def as_floats(columns: str) -> str:
 
 
 def _names(columns: str) -> list[str]:
-    """Output names of a column list in which only ``round(x, 6) AS x`` holds commas."""
-    return [part.split(" AS ")[-1] for part in columns.replace(", 6)", ")").split(", ")]
+    """Output names of a column list in which only ``round(x, 7) AS x`` holds commas."""
+    return [part.split(" AS ")[-1] for part in columns.replace(", 7)", ")").split(", ")]
 
 
 FLOATS = {
@@ -320,7 +320,7 @@ def series_sql(domain: str, layer: str, ts: str, reading: str, out: str) -> str:
     steps = ",".join([EVENTS, *STEPS[domain][layer]])
     return f"""WITH {steps},
 medians AS (
-  SELECT date_trunc('hour', {ts}) AS bucket, round(median({reading}::DOUBLE), 6) AS {out} FROM {layer} GROUP BY 1
+  SELECT date_trunc('hour', {ts}) AS bucket, round(median({reading}::DOUBLE), 7) AS {out} FROM {layer} GROUP BY 1
 ),
 spine AS (
   SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 HOUR)) AS bucket FROM medians
@@ -353,8 +353,8 @@ def computed_sql(domain: str, columns: str) -> str:
 
 
 def oracle() -> dict[str, str]:
-    temperature = "round(temperature, 6) AS temperature"
-    vibration = "round(vibration, 6) AS vibration"
+    temperature = "round(temperature, 7) AS temperature"
+    vibration = "round(vibration, 7) AS vibration"
     worker_silver_stored = f"{WORKER_STORED}, {WORKER_EXTRA}"
     return {
         "machine_decode_bronze": layer_sql("machine", "bronze"),
@@ -370,14 +370,14 @@ def oracle() -> dict[str, str]:
         "machine_fault_flag": computed_sql("machine", "is_fault, fault_flag"),
         "machine_event_date_hour": computed_sql("machine", '"timestamp", event_date, event_hour'),
         "machine_health_score": computed_sql(
-            "machine", f"is_fault, {temperature}, {vibration}, round(health_score, 6) AS health_score"
+            "machine", f"is_fault, {temperature}, {vibration}, round(health_score, 7) AS health_score"
         ),
         "machine_risk_score": computed_sql(
-            "machine", f"{temperature}, {vibration}, round(risk_score, 6) AS risk_score"
+            "machine", f"{temperature}, {vibration}, round(risk_score, 7) AS risk_score"
         ),
         "machine_running_flag": computed_sql("machine", "status, running_flag"),
         "machine_fault_category": computed_sql("machine", "error_code, fault_category"),
-        "machine_power_status": computed_sql("machine", "round(power_kw, 6) AS power_kw, power_status"),
+        "machine_power_status": computed_sql("machine", "round(power_kw, 7) AS power_kw, power_status"),
         "machine_time_bucket": computed_sql("machine", '"timestamp", time_bucket'),
         "machine_anomaly_flag": computed_sql("machine", f"{temperature}, anomaly_flag"),
         "worker_safety_violation": computed_sql("worker", "helmet_on, safety_vest_on, safety_violation_flag"),
@@ -402,10 +402,10 @@ def oracle() -> dict[str, str]:
         ),
         "relational_worker_events_silver": layer_sql("worker", "silver", worker_silver_stored),
         "relational_worker_safety_gold": layer_sql("worker", "gold"),
-        "search_machine_events": layer_sql("machine", "silver", as_floats(f"{MACHINE_EVENT}, {MACHINE_EXTRA}")),
-        "search_machine_aggregates": layer_sql("machine", "gold", as_floats(MACHINE_AGGREGATES)),
-        "search_worker_events": layer_sql("worker", "silver"),
-        "search_worker_safety": layer_sql("worker", "gold", as_floats(WORKER_AGGREGATES)),
+        "machine_events_index": layer_sql("machine", "silver", as_floats(f"{MACHINE_EVENT}, {MACHINE_EXTRA}")),
+        "machine_aggregates_index": layer_sql("machine", "gold", as_floats(MACHINE_AGGREGATES)),
+        "worker_events_index": layer_sql("worker", "silver"),
+        "worker_safety_index": layer_sql("worker", "gold", as_floats(WORKER_AGGREGATES)),
         "worker_events_quarantine_view": layer_sql(
             "worker", "quarantine", f'{WORKER_STORED}, validation_reason, {CAIRO_TIME}'
         ),

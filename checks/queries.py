@@ -56,8 +56,8 @@ IDENTITY = {"machine": ["event_id"], "worker": ["worker_id", "timestamp"]}
 
 
 def comparable(rows: DataFrame) -> DataFrame:
-    """Instants as UTC date-times, doubles to six places."""
-    shaped = {"timestamp": lambda c: c.cast("timestamp_ntz"), "double": lambda c: F.round(c, 6)}
+    """Instants as UTC date-times, doubles to seven places."""
+    shaped = {"timestamp": lambda c: c.cast("timestamp_ntz"), "double": lambda c: F.round(c, 7)}
     return rows.select(
         *(shaped.get(dtype, lambda c: c)(F.col(name)).alias(name) for name, dtype in rows.dtypes)
     )
@@ -208,7 +208,7 @@ def registered() -> dict[str, Query]:
         "worker_gold": _layer("worker", "gold"),
         "machine_silver_json": machine_silver_json,
         **{f"relational_{table}": _relational(table) for table in RELATIONAL_TABLES},
-        **{f"search_{index.replace('-', '_')}": _search(index) for index in SEARCH_INDEXES},
+        **{f"{index.replace('-', '_')}_index": _search(index) for index in SEARCH_INDEXES},
         **{view: _view(view) for view in VIEWS},
         **{name: _panel(name) for name in PANELS},
         "stream_machine_gold_update": _stream_gold("machine"),

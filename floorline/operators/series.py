@@ -7,10 +7,30 @@ from pyspark.sql import functions as F
 
 from floorline.operators.median import approx_median, exact_median
 
+# The steps an automatic interval is chosen from.
+STEPS = (
+    "1 second", "5 seconds", "10 seconds", "30 seconds", "1 minute", "5 minutes", "10 minutes",
+    "30 minutes", "1 hour", "3 hours", "12 hours", "1 day", "7 days", "30 days", "365 days",
+)
+AUTO = "auto"
+MAX_BUCKETS = 100
+
 # Buckets made by one row of the spine; keeps the arrays behind it small.
 SPINE_BLOCK = 4096
 
 
+def auto_interval(rows: DataFrame, ts: str, max_buckets: int = MAX_BUCKETS) -> str:
+    """The shortest step that covers the rows' time span in ``max_buckets`` buckets.
+
+    Runs a job that brings one row, naming the step, to the driver.
+    """
+    span = rows.agg((F.max(ts) - F.min(ts)).alias("span"))
+    fits = F.when(F.col("span").isNull(), STEPS[0])
+    for step in STEPS:
+        fits = fits.when(F.col("span") <= F.expr(f"INTERVAL {step}") * max_buckets, step)
+    return span.select(fits.otherwise(STEPS[-1])).first()[0]
+
+
 def bucket_spine(rows: DataFrame, ts: str, interval: str) -> DataFrame:
     """Every bucket from the first to the last event, with or without events.
 
@@ -51,10 +71,14 @@ def median_series(
 ) -> DataFrame:
     """``bucket`` and the median of ``reading`` per bucket of ``interval``.
 
+    ``interval`` is a fixed duration such as ``"15 minutes"``, or ``"auto"``.
+
     Partial buckets at both ends are kept.  With ``fill_empty`` a bucket without
     events is a row with a null median.
     """
     out = out or f"median_{reading}"
+    if interval == AUTO:
+        interval = auto_interval(rows, ts)
     placed = rows.where(F.col(ts).isNotNull()).select(F.window(ts, interval)["start"].alias("bucket"), reading)
     medians = (exact_median if exact else approx_median)(placed, ["bucket"], reading, out)
     if not fill_empty:

@@ -45,9 +45,10 @@ class Sink(Protocol):
 def _writer(derive: Derive, outputs: Outputs) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: every output of one batch, or an error.
 
-    Outputs are written side by side, as most wait on different stores.  An error
-    ends the query once the other writes of the batch are through; after a restart
-    the whole batch is run again.
+    With several outputs the batch is persisted.  The first write runs alone and
+    so computes each partition once, state included; the others then read what is
+    kept and run side by side, as most wait on different stores.  An error ends
+    the query; after a restart the whole batch is run again.
     """
 
     def write_one(rows: DataFrame, dataset: Dataset, sink: Sink, batch: Batch) -> None:
@@ -59,18 +60,19 @@ def _writer(derive: Derive, outputs: Outputs) -> Callable[[DataFrame, int], None
 
     def write(rows: DataFrame, batch_id: int) -> None:
         batch = current_batch(rows, batch_id)
-        if len(outputs) == 1:
-            [(dataset, sink)] = outputs
-            return write_one(derive(rows)[dataset.layer], dataset, sink, batch)
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
+        if len(outputs) > 1:
+            rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             derived = derive(rows)
-            # The threads' Spark jobs belong to the query and stop with it.
-            job = inheritable_thread_target(rows.sparkSession)(write_one)
-            with ThreadPoolExecutor(min(len(outputs), CONCURRENT_WRITES)) as pool:
-                writes = [pool.submit(job, derived[d.layer], d, sink, batch) for d, sink in outputs]
-            for done in writes:
-                done.result()
+            (dataset, sink), *others = outputs
+            write_one(derived[dataset.layer], dataset, sink, batch)
+            if others:
+                # The threads' Spark jobs belong to the query and stop with it.
+                job = inheritable_thread_target(rows.sparkSession)(write_one)
+                with ThreadPoolExecutor(min(len(others), CONCURRENT_WRITES)) as pool:
+                    writes = [pool.submit(job, derived[d.layer], d, sink, batch) for d, sink in others]
+                for done in writes:
+                    done.result()
         finally:
             rows.unpersist()
 

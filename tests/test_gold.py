@@ -81,3 +81,11 @@ def test_plan_parses_once_and_shuffles_partial_aggregates_once(raw, domain):
     assert final.count("from_json(") == 1
     assert final.count("Exchange hashpartitioning") == 1
     assert "partial_" in final[final.index("Exchange hashpartitioning"):]
+
+
+@pytest.mark.parametrize("domain", ["machine", "worker"])
+@pytest.mark.parametrize("layer", ["bronze", "quarantine", "silver"])
+def test_stateless_layers_do_not_shuffle(raw, domain, layer):
+    document = {"machine": machine, "worker": worker}[domain]()
+    plan = executed_plan(build_layer(raw(document), domain, layer))
+    assert "Exchange" not in plan and plan.split("Initial Plan")[0].count("from_json(") == 1

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from floorline.operators.median import approx_median, exact_median
-from floorline.operators.series import SPINE_BLOCK, bucket_spine, median_series
+from floorline.operators.series import SPINE_BLOCK, auto_interval, bucket_spine, median_series
 
 START = datetime(2024, 1, 1)
 readings = st.one_of(
@@ -112,3 +112,27 @@ def test_long_spine_is_complete(spark):
 def test_spine_of_nothing_is_empty(spark):
     nothing = spark.createDataFrame([], "ts TIMESTAMP, v DOUBLE")
     assert median_series(nothing, "ts", "v").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("span", "interval"),
+    [
+        (timedelta(0), "1 second"),
+        (timedelta(seconds=100), "1 second"),
+        (timedelta(seconds=101), "5 seconds"),
+        (timedelta(hours=9), "10 minutes"),
+        (timedelta(days=5), "3 hours"),
+        (timedelta(days=100), "1 day"),
+        (timedelta(days=400_000), "365 days"),
+    ],
+)
+def test_automatic_interval(spark, span, interval):
+    ends = spark.createDataFrame([(datetime(1700, 1, 1),), (datetime(1700, 1, 1) + span,)], "ts TIMESTAMP")
+    assert auto_interval(ends, "ts") == interval
+
+
+def test_automatic_series(spark, gappy):
+    rows = median_series(gappy, "ts", "v", "auto").collect()
+    assert len(rows) == 41 and {row.bucket.minute % 5 for row in rows} == {0}
+    nothing = spark.createDataFrame([], "ts TIMESTAMP, v DOUBLE")
+    assert median_series(nothing, "ts", "v", "auto").count() == 0
