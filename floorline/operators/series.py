@@ -83,4 +83,5 @@ def median_series(
     medians = (exact_median if exact else approx_median)(placed, ["bucket"], reading, out)
     if not fill_empty:
         return medians
-    return bucket_spine(rows, ts, interval).join(medians, "bucket", "left")
+    # Bounds taken from the medians, whose shuffles are reused, not from the rows.
+    return bucket_spine(medians, "bucket", interval).join(medians, "bucket", "left")

@@ -136,3 +136,12 @@ def test_automatic_series(spark, gappy):
     assert len(rows) == 41 and {row.bucket.minute % 5 for row in rows} == {0}
     nothing = spark.createDataFrame([], "ts TIMESTAMP, v DOUBLE")
     assert median_series(nothing, "ts", "v", "auto").count() == 0
+
+
+def test_series_scans_its_rows_once(spark, tmp_path):
+    ticks = spark.range(5000).select(F.timestamp_seconds(F.col("id") * 7).alias("ts"), (F.col("id") % 90).alias("v"))
+    ticks.write.parquet(f"{tmp_path}/ticks")
+    series = median_series(spark.read.parquet(f"{tmp_path}/ticks"), "ts", "v", "10 minutes")
+    series.collect()
+    plan = series._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1
