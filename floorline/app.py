@@ -38,6 +38,8 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--checkpoint", required=True, help="folder for checkpoints, shared by all executors")
     parser.add_argument("--servers", help="message brokers, host:port,...")
     parser.add_argument("--files", help="read JSON lines below <files>/<topic> instead of topics")
+    parser.add_argument("--source-option", nargs="+", metavar="KEY=VALUE", default=[],
+                        help="options of the source, e.g. maxOffsetsPerTrigger=1000000 to bound a batch")
     parser.add_argument("--domains", nargs="+", choices=list(TOPICS), default=list(TOPICS))
     parser.add_argument("--lake", help="root of the Parquet lake")
     parser.add_argument("--database", help="JDBC URL")
@@ -73,9 +75,10 @@ def sinks(options: argparse.Namespace) -> dict[str, Sink]:
 
 def source(session: SparkSession, options: argparse.Namespace, domain: str) -> DataFrame:
     topic = TOPICS[domain]
+    extra = dict(option.split("=", 1) for option in options.source_option)
     if options.files:
-        return read_stream(session, "text", path=f"{options.files}/{topic}")
-    return read_topic(session, options.servers, topic)
+        return read_stream(session, "text", extra, path=f"{options.files}/{topic}")
+    return read_topic(session, options.servers, topic, **extra)
 
 
 def trigger(options: argparse.Namespace) -> dict[str, object] | None:
@@ -103,7 +106,7 @@ def start(session: SparkSession, options: argparse.Namespace) -> list[StreamingQ
 
 def main(arguments: Sequence[str] | None = None) -> None:
     options = parse(arguments)
-    session = stream_session(build_session("floorline"), options.state_partitions)
+    session = stream_session(build_session("floorline", spark__scheduler__mode="FAIR"), options.state_partitions)
     queries = start(session, options)
     if options.once:
         for query in queries:

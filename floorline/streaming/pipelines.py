@@ -33,6 +33,7 @@ log = logging.getLogger(__name__)
 
 # Writes of one batch that run at the same time.
 CONCURRENT_WRITES = 4
+POOL = "spark.scheduler.pool"
 
 Outputs = list[tuple[Dataset, "Sink"]]
 Derive = Callable[[DataFrame], Mapping[str, DataFrame]]
@@ -79,9 +80,22 @@ def _writer(derive: Derive, outputs: Outputs) -> Callable[[DataFrame, int], None
     return write
 
 
-def _start(writer: DataStreamWriter, name: str, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
+def _start(
+    spark: SparkSession, writer: DataStreamWriter, name: str, checkpoint: str, trigger: Mapping | None
+) -> StreamingQuery:
+    """Start a query in a scheduler pool of its own.
+
+    With ``spark.scheduler.mode=FAIR`` the queries of an application then share
+    its cores; otherwise the pool has no effect.
+    """
     writer = writer.queryName(name).option("checkpointLocation", f"{checkpoint}/{name}")
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    if trigger:
+        writer = writer.trigger(**trigger)
+    spark.sparkContext.setLocalProperty(POOL, name)
+    try:
+        return writer.start()
+    finally:
+        spark.sparkContext.setLocalProperty(POOL, None)
 
 
 def start_stateless(
@@ -91,7 +105,7 @@ def start_stateless(
     write = _writer(lambda bronze: layers.stateless_layers(bronze, domain), outputs)
     bronze = layers.bronze_layer(raw, domain)
     return _start(
-        bronze.writeStream.outputMode("append").foreachBatch(write),
+        raw.sparkSession, bronze.writeStream.outputMode("append").foreachBatch(write),
         f"{domain}_events", checkpoint, trigger,
     )
 
@@ -103,7 +117,7 @@ def start_gold(
     write = _writer(lambda gold: {"gold": gold}, outputs)
     gold = layers.build_layer(raw, domain, "gold", watermark=WATERMARK)
     return _start(
-        gold.writeStream.outputMode("update").foreachBatch(write),
+        raw.sparkSession, gold.writeStream.outputMode("update").foreachBatch(write),
         f"{domain}_gold", checkpoint, trigger,
     )
 
@@ -144,7 +158,7 @@ def start_dataset(
         writer = sink.documents(rows, dataset).writeStream.format("kafka").options(**sink.options(dataset.target))
     else:
         writer = rows.writeStream.foreachBatch(_writer(lambda batch: {dataset.layer: batch}, [(dataset, sink)]))
-    return _start(writer.outputMode(dataset.output_mode), dataset.name, checkpoint, trigger)
+    return _start(raw.sparkSession, writer.outputMode(dataset.output_mode), dataset.name, checkpoint, trigger)
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:

@@ -72,6 +72,18 @@ def test_triggers(arguments, expected):
     assert app.trigger(app.parse(["--servers", "a:1", "--checkpoint", "ck", *arguments])) == expected
 
 
+def test_source_options_bound_the_batches(spark, wire):
+    (wire / "wire" / "worker-events" / "1.json").write_text(json.dumps(worker()))
+    options = app.parse([
+        "--files", f"{wire}/wire", "--lake", f"{wire}/lake", "--checkpoint", f"{wire}/ck", "--once",
+        "--only", "worker_bronze_lake", "--source-option", "maxFilesPerTrigger=1",
+    ])
+    [query] = app.start(stream_session(spark, 2), options)
+    query.awaitTermination()
+    stored = read_lake(spark, f"{wire}/lake", "worker", "bronze", revisions=True)
+    assert sorted(row["count"] for row in stored.groupBy("batch_id").count().collect()) == [1, 3]
+
+
 @pytest.mark.parametrize("arguments", [[], ["--servers", "a:1", "--files", "f"]])
 def test_exactly_one_source(arguments):
     with pytest.raises(SystemExit):
