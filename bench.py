@@ -74,6 +74,7 @@ def main() -> None:
         "cpus": int(cpus),
         "spark": spark.version,
     }))
+    spark.stop()
 
 
 if __name__ == "__main__":

@@ -68,6 +68,7 @@ def main() -> int:
         for line in wrong[:2]:
             print("     ", line[:700], flush=True)
     print(f"{len(names) - failed}/{len(names)} match")
+    spark.stop()
     return 1 if failed else 0
 
 

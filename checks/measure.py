@@ -124,6 +124,7 @@ def main() -> None:
     batch(spark, folder, wire)
     medians(spark, folder)
     streams(spark, wire)
+    spark.stop()
 
 
 if __name__ == "__main__":

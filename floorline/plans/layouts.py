@@ -21,9 +21,14 @@ def relational_layout(rows: DataFrame, table: str) -> DataFrame:
     )
 
 
-def relational_ddl(table: str) -> str:
-    """Column types for creating the table, in the form JDBC writers take."""
-    return ", ".join(f"{name} {sql_type}" for name, sql_type in relational_columns(table))
+def text_column_types(table: str) -> str:
+    """Lengths of the text columns, in the form JDBC writers take to create a table.
+
+    Other columns are left to the database's dialect, which knows its own names
+    for doubles and timestamps.
+    """
+    columns = relational_columns(table)
+    return ", ".join(f"{name} {sql_type}" for name, sql_type in columns if sql_type.startswith("VARCHAR"))
 
 
 def search_layout(rows: DataFrame, index: str) -> DataFrame:

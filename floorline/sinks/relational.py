@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floorline.plans.layouts import relational_ddl, relational_layout
+from floorline.plans.layouts import relational_layout, text_column_types
 from floorline.sinks.batch import Batch
 from floorline.streaming.datasets import Dataset
 
@@ -36,7 +36,7 @@ class RelationalSink:
         return {
             **self.connection(table),
             "numPartitions": str(self.connections),
-            "createTableColumnTypes": relational_ddl(table),
+            "createTableColumnTypes": text_column_types(table),
             **self.extra,
         }
 

@@ -13,7 +13,7 @@ from floorline.operators.contract import ContractError, require_columns
 from floorline.operators.revisions import latest_revision
 from floorline.plans.dashboards import PANELS, panel
 from floorline.plans.layers import build_layer
-from floorline.plans.layouts import relational_ddl, relational_layout, search_layout
+from floorline.plans.layouts import relational_layout, search_layout, text_column_types
 from floorline.plans.views import VIEWS, local_time_view, register_views
 from floorline.streaming.datasets import DATASETS
 
@@ -39,7 +39,7 @@ def test_relational_types(raw):
     assert types["fatigue_score"] == "double" and types["heart_rate"] == "int"
     assert rows.columns.index("heart_rate_status") == rows.columns.index("heart_rate") + 1
     assert dict(stored(raw, "worker_safety_gold").dtypes)["violations_per_window"] == "bigint"
-    assert relational_ddl("worker_safety_gold").startswith("worker_id VARCHAR(50), window_start TIMESTAMP")
+    assert text_column_types("worker_safety_gold") == "worker_id VARCHAR(50)"
 
 
 def test_search_readings_are_32_bit(raw):

@@ -65,7 +65,7 @@ def test_relational_options_and_hidden_password():
     options = sink.options("worker_safety_gold")
     assert options["dbtable"] == "worker_safety_gold"
     assert (options["numPartitions"], options["batchsize"]) == ("4", "5000")
-    assert options["createTableColumnTypes"].endswith("avg_fatigue_score DOUBLE")
+    assert options["createTableColumnTypes"] == "worker_id VARCHAR(50)"
     assert "secret" not in repr(sink)
 
 
