@@ -2,6 +2,61 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(words) >= 2
+      THEN list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))
+    ELSE words END AS shingles FROM w
+),
+sets AS MATERIALIZED (SELECT list_sort(shingles) AS k, min(doc_id) AS doc, len(any_value(shingles)) AS n FROM s WHERE len(shingles) > 0 GROUP BY 1),
+one AS MATERIALIZED (SELECT doc, n, unnest(k) AS g FROM sets),
+common AS MATERIALIZED (
+  SELECT x.doc AS a, y.doc AS b, count(*) AS c, any_value(x.n) AS n, any_value(y.n) AS m
+  FROM one x JOIN one y ON x.g = y.g AND x.doc < y.doc AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n) GROUP BY 1, 2
+),
+link AS MATERIALIZED (
+  SELECT a, b FROM common WHERE 100 * c >= 80 * (n + m - c) UNION SELECT b, a FROM common WHERE 100 * c >= 80 * (n + m - c)
+),
+reach AS (SELECT doc AS a, doc AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+comp AS (SELECT a AS doc, min(b) AS component FROM reach GROUP BY 1)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(c.component, s.doc_id) AS component_id,
+  s.doc_id = coalesce(c.component, s.doc_id) AS kept
+FROM s LEFT JOIN sets ON list_sort(s.shingles) = sets.k LEFT JOIN comp c ON c.doc = sets.doc
+"""
+
+OP6 = r"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+b AS MATERIALIZED (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+win AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[s:s + 12], ' ') AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS s FROM b WHERE len(w) > 0)
+),
+place AS MATERIALIZED (
+  SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)
+),
+hit AS MATERIALIZED (SELECT doc_id, s, n, item_id FROM place JOIN win USING (n, k)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 OP8 = r"""
 WITH w AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
@@ -19,6 +74,31 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_
 FROM w LEFT JOIN gone USING (doc_id)
 """
 
+OP7 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(x, 1 + 5 * (j // 4)::INT, 5))::INT >> (15 - 5 * (j % 4))::INT) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+OP9 = r"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
 
 def oracle() -> dict[str, str]:
-    return {"op8_substring_dedup": OP8}
+    return {"op1_minhash_near_dedup": OP1, "op6_decontamination": OP6, "op7_warc": OP7,
+            "op8_substring_dedup": OP8, "op9_bit_sliced_top_k": OP9}

@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from floorline.llm.bit_sliced import top_k
+from floorline.llm.decontamination import benchmark_hits
+from floorline.llm.minhash import near_duplicates
 from floorline.llm.substring_dedup import substring_dedup
+from floorline.llm.warc import read_warc, write_warc
+from floorline.streaming.workspace import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +21,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    named = F.concat_ws(",", F.array_sort(F.transform("items", lambda x: x.cast("string"))))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(named.cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = shared_folder(spark, "warc")
+    write_warc(table(spark, folder, "pages"), archives).agg(F.sum("records")).collect()  # one number; it runs the writer
+    return read_warc(spark, archives).select(
+        F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op8_substring_dedup,)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op6_decontamination, op7_warc, op8_substring_dedup,
+                                    op9_bit_sliced_top_k)}
