@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from floorline.llm.bit_sliced import top_k
 from floorline.llm.decontamination import benchmark_hits
+from floorline.llm.html_main import extract_main_text
 from floorline.llm.minhash import near_duplicates
+from floorline.llm.quality import fit_quality, score_quality
+from floorline.llm.segmentations import decode_pieces, sample_segmentations
 from floorline.llm.substring_dedup import substring_dedup
+from floorline.llm.token_files import read_token_files, write_token_files
 from floorline.llm.warc import read_warc, write_warc
 from floorline.streaming.workspace import shared_folder
 
@@ -25,6 +29,29 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
 
 
+def op2_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract_main_text(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op3_quality_attention(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, folder, "labels")))
+
+
+def op4_wavelet_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    shards = shared_folder(spark, "tokens")
+    write_token_files(table(spark, folder, "documents"), shards).agg(F.sum("tokens")).collect()  # one number; it runs the writer
+    return read_token_files(spark, shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_sampled_segmentations(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per document and sample; ``text_crc32`` is that of the text decoded from the ids."""
+    found = decode_pieces(sample_segmentations(table(spark, folder, "documents")))
+    return found.select("doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+                        "log_prob", "log_inclusion", F.crc32(F.col("decoded").cast("binary")).alias("text_crc32"))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = benchmark_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     named = F.concat_ws(",", F.array_sort(F.transform("items", lambda x: x.cast("string"))))
@@ -49,5 +76,6 @@ def op9_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op6_decontamination, op7_warc, op8_substring_dedup,
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_html_main_text, op3_quality_attention,
+                                    op4_wavelet_token_files, op5_sampled_segmentations, op6_decontamination, op7_warc, op8_substring_dedup,
                                     op9_bit_sliced_top_k)}

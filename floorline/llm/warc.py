@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from floorline.llm.common import opened
+
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -28,13 +30,6 @@ READ_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
 
 
-def opened(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and name for a path as Spark gives it."""
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
-
-
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
