@@ -28,6 +28,20 @@ SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles, coalesce(c.component, s.
 FROM s LEFT JOIN sets ON list_sort(s.shingles) = sets.k LEFT JOIN comp c ON c.doc = sets.doc
 """
 
+# Holds for the pages of these tables, which have one `article` each and no markup inside it but h1, p, b and br.
+OP2 = r"""
+WITH p AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1), '<[^>]*$', '') AS body FROM pages
+),
+b AS (SELECT page_id, url, regexp_split_to_array(body, '</?(h1|p|br)>') AS parts FROM p),
+t AS (
+  SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(
+    regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts FROM b
+)
+SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), ' ') AS text,
+  length(array_to_string(list_filter(parts, lambda x: x <> ''), ' '))::BIGINT AS n_chars FROM t
+"""
+
 OP6 = r"""
 WITH d AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -98,7 +112,53 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 FROM s QUALIFY rank <= 20
 """
 
+OP10 = r"""
+WITH RECURSIVE m AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, conv_id, turn, role, text, regexp_split_to_array(coalesce(text, ''), '\r?\n') AS lines FROM conversations
+),
+line AS MATERIALIZED (
+  SELECT r, conv_id, turn, i, len(regexp_replace(regexp_extract(lines[i], '^([ \t]*>)+'), '[^>]', '', 'g')) AS level,
+    regexp_replace(lines[i], '^([ \t]*>)+ ?', '') AS says
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM m)
+),
+run AS MATERIALIZED (
+  SELECT *, sum(CASE WHEN level IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS g
+  FROM (SELECT *, lag(level) OVER (PARTITION BY r ORDER BY i) AS before FROM line)
+),
+said AS (
+  SELECT conv_id, turn, level, string_agg(says, ' ' ORDER BY i) AS t FROM run GROUP BY r, conv_id, turn, level, g
+  UNION ALL SELECT conv_id, turn, 0, string_agg(says, ' ' ORDER BY i) FROM run WHERE level = 0 GROUP BY r, conv_id, turn
+  UNION ALL SELECT conv_id, turn, level, says FROM run
+),
+k AS MATERIALIZED (
+  SELECT DISTINCT conv_id, turn, level, trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g')) AS k FROM said WHERE turn IS NOT NULL AND level <= 1
+),
+origin AS (
+  SELECT q.conv_id, q.turn, q.k, max(o.turn) AS origin FROM k q JOIN k o
+    ON q.level = 1 AND o.level = 0 AND q.k = o.k AND q.k <> '' AND q.conv_id IS NOT DISTINCT FROM o.conv_id AND o.turn < q.turn GROUP BY 1, 2, 3
+),
+weight AS (SELECT conv_id, turn, origin, sum(length(k)) AS w FROM origin GROUP BY 1, 2, 3),
+link AS (SELECT conv_id, turn, origin AS reply_to FROM weight QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY w DESC, origin DESC) = 1),
+t AS MATERIALIZED (
+  SELECT d.conv_id, d.turn, reply_to FROM (SELECT DISTINCT conv_id, turn FROM m WHERE turn IS NOT NULL) d
+  LEFT JOIN link l ON d.conv_id IS NOT DISTINCT FROM l.conv_id AND d.turn = l.turn
+),
+path AS (
+  SELECT conv_id, turn, reply_to, [turn] AS path FROM t WHERE reply_to IS NULL
+  UNION ALL SELECT t.conv_id, t.turn, t.reply_to, list_append(p.path, t.turn) FROM t JOIN path p
+    ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.reply_to = p.turn
+),
+own AS (
+  SELECT r, trim(coalesce(string_agg(CASE WHEN level = 0 THEN says END, chr(10) ORDER BY i), ''), ' ') AS own_text,
+    count(DISTINCT CASE WHEN level > 0 THEN g END) AS n_quotes FROM run GROUP BY r
+)
+SELECT m.conv_id, m.turn, m.role, own_text, n_quotes, reply_to, coalesce(len(path) - 1, 0)::BIGINT AS depth,
+  row_number() OVER (PARTITION BY m.conv_id ORDER BY coalesce(path, []), m.role NULLS FIRST, m.text NULLS FIRST) AS position,
+  '<|' || coalesce(m.role, 'unknown') || '|>' || chr(10) || own_text AS formatted
+FROM m JOIN own USING (r) LEFT JOIN path p ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.turn = p.turn
+"""
+
 
 def oracle() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": OP1, "op6_decontamination": OP6, "op7_warc": OP7,
-            "op8_substring_dedup": OP8, "op9_bit_sliced_top_k": OP9}
+    return {"op1_minhash_near_dedup": OP1, "op2_html_main_text": OP2, "op6_decontamination": OP6, "op7_warc": OP7,
+            "op8_substring_dedup": OP8, "op9_bit_sliced_top_k": OP9, "op10_quotation_linking": OP10}

@@ -12,6 +12,7 @@ from floorline.llm.decontamination import benchmark_hits
 from floorline.llm.html_main import extract_main_text
 from floorline.llm.minhash import near_duplicates
 from floorline.llm.quality import fit_quality, score_quality
+from floorline.llm.quotations import reply_ordered
 from floorline.llm.segmentations import decode_pieces, sample_segmentations
 from floorline.llm.substring_dedup import substring_dedup
 from floorline.llm.token_files import read_token_files, write_token_files
@@ -75,7 +76,11 @@ def op9_bit_sliced_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op10_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return reply_ordered(table(spark, folder, "conversations"))
+
+
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash_near_dedup, op2_html_main_text, op3_quality_attention,
                                     op4_wavelet_token_files, op5_sampled_segmentations, op6_decontamination, op7_warc, op8_substring_dedup,
-                                    op9_bit_sliced_top_k)}
+                                    op9_bit_sliced_top_k, op10_quotation_linking)}
