@@ -194,6 +194,23 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
     return fit(bags, np.array([r["label"] for r in rows], np.float64))
 
 
+def score_rows(docs: DataFrame, model: Model | None, into: str, text_column: str = "text") -> DataFrame:
+    """``docs``, all columns, with the score of each row's text in ``into``; without a model every score is 0.5."""
+    shaped = docs.withColumn(into, F.lit(0.5))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch[text_column].cast(pa.string())
+            for a, b in slices(texts):
+                part = batch.slice(a, b - a)
+                if model is not None:
+                    value = model.forward(*passage_features(texts[a:b]))["y"]
+                    part = part.set_column(batch.schema.get_field_index(into), into, pa.array(value, pa.float64()))
+                yield part
+
+    return shaped.mapInArrow(score, shaped.schema)
+
+
 def score_quality(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: id, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from 0.7 on).
 
@@ -202,16 +219,6 @@ def score_quality(docs: DataFrame, model: Model | None, id_column: str = "doc_id
     theirs.  Other columns are not read.
     """
     plain = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in slices(batch["text"]):
-                value = np.full(b - a, 0.5)
-                if model is not None:
-                    value = model.forward(*passage_features(batch["text"][a:b]))["y"]
-                yield pa.RecordBatch.from_arrays([batch["id"][a:b], pa.array(value, pa.float64())], names=["id", "score"])
-
-    kind = docs.schema[id_column].dataType.simpleString()
-    return plain.mapInArrow(score, f"id {kind}, score double").select(
+    return score_rows(plain, model, "score").select(
         F.col("id").alias(id_column), held_out(F.col("id")).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

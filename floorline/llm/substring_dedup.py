@@ -145,14 +145,18 @@ BITS = "grp long, bucket long, bits binary"
 
 
 def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                    window: int = WINDOW, group_bytes: int = GROUP_BYTES, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
+                    window: int = WINDOW, group_bytes: int = GROUP_BYTES, bucket_windows: int = BUCKET_WINDOWS,
+                    keep_columns: bool = False) -> DataFrame:
     """Per row: id, ``n_words``, ``n_removed``, ``spans`` (start and end of each removed interval, in words) and ``kept``.
 
     A word goes if a window that covers it also starts in a document with a
     smaller id; windows are judged on the input.  Rows with one id are one
     document for this.  A null text has no words; a null id comes after every
     other.  Without any removal ``kept`` still is the words joined by one space.
-    An empty table gives an empty result; other columns are not read.
+    An empty table gives an empty result.  Other columns are read only with
+    ``keep_columns``: then a row has ``row``, all the columns it came with but the
+    text, instead of its id, so their names clash with nothing, and ``kept`` is the
+    text as it was where nothing is removed.
     """
     size = total_bytes(docs, text_column)
     groups = max(1, -(-size // group_bytes))
@@ -160,8 +164,11 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
     dealt = docs.select(
         F.pmod(F.xxhash64(F.col(id_column).cast("long")), F.lit(groups)).alias("grp"),
         F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"),
+        *([F.struct(*(docs[c] for c in docs.columns if c != text_column)).alias("row")] if keep_columns else []),
     ).repartition(max(groups, shuffle_partitions(docs.sparkSession)), "grp")
 
+    carried = "row" if keep_columns else "id"
+
     def send_first(key, table):
         _, _, distinct, met, begins = first_round(Group(table, window), buckets)
         short = distinct.astype(np.uint32)
@@ -220,7 +227,7 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
         if len(distinct):
             at = np.searchsorted(distinct, hashes)
             covered[keep] = earlier[at] | (smallest[at] < owners)
-        return removed_rows(group, covered, window, id_column)
+        return removed_rows(group, covered, window, carried)
 
     keys = dealt.groupBy("grp").applyInArrow(send_first, KEYS)
     first_bits = keys.groupBy("bucket").applyInArrow(several_groups, BITS)
@@ -232,11 +239,13 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
         number = np.asarray(answers["round"]) if answers.num_rows else np.zeros(0, int)
         return remove(key, table, answers.filter(pa.array(number == 1)), answers.filter(pa.array(number == 2)))
 
-    return dealt.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(
-        remove_marked, f"`{id_column}` long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
+    first = f"row {dealt.schema['row'].dataType.simpleString()}" if keep_columns else "id long"
+    found = dealt.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(
+        remove_marked, f"{first}, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
+    return found if keep_columns else found.withColumnRenamed("id", id_column)
 
 
-def removed_rows(group: Group, covered: np.ndarray, window: int, id_column: str) -> pa.Table:
+def removed_rows(group: Group, covered: np.ndarray, window: int, carried: str) -> pa.Table:
     """Rows of a group, from which of its windows start elsewhere earlier."""
     n_words, n_removed, spans, kept = [], [], [], []
     done = 0
@@ -266,9 +275,11 @@ def removed_rows(group: Group, covered: np.ndarray, window: int, id_column: str)
         n_words += words.count.tolist()
         n_removed += removed.tolist()
         kept += texts
-    ids = group.rows["id"]
+    kept = pa.array(kept, pa.binary()).cast(pa.string())
+    if carried == "row":
+        kept = pc.if_else(pa.array(np.array(n_removed) > 0), kept, group.text)
     return pa.table({
-        id_column: ids, "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
+        carried: group.rows[carried], "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
         "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-        "kept": pa.array(kept, pa.binary()).cast(pa.string()),
+        "kept": kept,
     })
