@@ -57,10 +57,11 @@ def passage_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     size = np.bincount(passage, minlength=n).astype(np.float64)
     full = np.maximum(size, 1)
 
-    # Bytes from a word's start to the next word's belong to its passage.
-    bounds = np.r_[words.start, len(words.data)]
-    kinds = CLASSES[words.data[bounds[0]:]]
-    owner = np.repeat(passage, np.diff(bounds))
+    # Bytes from a word's start to the next word's, or to its text's end, belong to its passage.
+    follows = np.r_[words.text[1:] == words.text[:-1], False]
+    width = np.where(follows, np.r_[words.start[1:], 0], words.text_ends[words.text] - 1) - words.start
+    kinds = CLASSES[words.data[np.repeat(words.start - np.cumsum(width) + width, width) + np.arange(width.sum())]]
+    owner = np.repeat(passage, width)
     counts = np.bincount(owner * N_CLASSES + kinds, minlength=n * N_CLASSES).reshape(n, N_CLASSES)
     out[:, :N_CLASSES] = np.sqrt(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1))
     last = CLASSES[words.data[words.end - 1]]

@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from floorline.llm.common import Powers, Words, mix, runs, shuffle_partitions, slices, total_bytes
 
@@ -141,6 +142,7 @@ def bits_of(table: pa.Table) -> dict[int, bytes]:
 
 
 KEYS = "bucket long, grp long, keys binary, ids binary"
+REMOVED = "n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
 BITS = "grp long, bucket long, bits binary"
 
 
@@ -239,9 +241,9 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
         number = np.asarray(answers["round"]) if answers.num_rows else np.zeros(0, int)
         return remove(key, table, answers.filter(pa.array(number == 1)), answers.filter(pa.array(number == 2)))
 
-    first = f"row {dealt.schema['row'].dataType.simpleString()}" if keep_columns else "id long"
-    found = dealt.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(
-        remove_marked, f"{first}, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
+    # The column itself, not its text, says which of its fields may be null.
+    schema = T.StructType([T.StructField(carried, dealt.schema[carried].dataType), *T.StructType.fromDDL(REMOVED)])
+    found = dealt.groupBy("grp").cogroup(both.groupBy("grp")).applyInArrow(remove_marked, schema)
     return found if keep_columns else found.withColumnRenamed("id", id_column)
 
 

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import random
+import re
+
+from llm_helpers import clashing, documents, rows, words
+
+from floorline.llm import decontamination
+from floorline.llm.decontamination import benchmark_hits
+
+
+def split(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def brute(texts, items, window=13):
+    out = []
+    for i, text in texts:
+        own, hit, met = split(text), set(), set()
+        for name, item in items:
+            w = split(item)
+            if name is None or not w:
+                continue
+            size = min(len(w), window)
+            for s in range(max(1, len(w) - window + 1)):
+                for at in range(len(own) - size + 1):
+                    if own[at:at + size] == w[s:s + size]:
+                        hit |= set(range(at, at + size))
+                        met.add(name)
+        out.append((i, len(own), len(hit), sorted(met), bool(hit) and 100 * len(hit) >= 5 * len(own)))
+    return sorted(out, key=repr)
+
+
+def found_rows(frame):
+    return sorted(((r["doc_id"], r["n_words"], r["n_hit"], sorted(r["items"]), r["contaminated"]) for r in frame.collect()), key=repr)
+
+
+def tables(spark):
+    rng = random.Random(4)
+    items = [(k, " ".join(words(k, n, 300))) for k, n in enumerate((20, 13, 14, 40, 5, 3, 2, 1, 12))]
+    items += [(20, "Grün ist's 7mal, ODER nicht"), (21, None), (22, "--- ..."), (None, "w1 w2 w3"), (23, items[0][1]), (24, "the the the the")]
+    texts = []
+    for i in range(60):
+        own = words(100 + i, rng.randrange(0, 60), 300)
+        for _ in range(rng.randrange(0, 3)):
+            part = split(rng.choice(items)[1])
+            if part:
+                a = rng.randrange(len(part))
+                at = rng.randrange(len(own) + 1)
+                own[at:at] = part[a:] if rng.random() < 0.5 else part
+        texts.append((i, rng.choice([" ", ", ", "\n"]).join(own)))
+    texts += [(70, None), (71, ""), (72, "GRÜN grün IST s 7MAL oder Nicht"), (3, texts[3][1]), (3, texts[4][1]), (None, texts[5][1]),
+              (73, "the " * 50), (74, " ".join(words(9, 20_000, 10 ** 6)) + " " + items[0][1])]
+    return texts, items
+
+
+def test_matches_brute_force(spark):
+    texts, items = tables(spark)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = benchmark_hits(clashing(documents(spark, *texts)), clashing(bench))
+    assert found_rows(found) == brute(texts, items)
+
+
+def test_the_same_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    texts, items = tables(spark)
+    found = benchmark_hits(documents(spark, *texts), spark.createDataFrame(items, "item_id long, text string"))
+    assert found_rows(found) == brute(texts, items)
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert benchmark_hits(documents(spark), empty).count() == 0
+    assert found_rows(benchmark_hits(documents(spark, (1, "a b"), (2, None)), empty)) == [(1, 2, 0, [], False), (2, 0, 0, [], False)]
+
+
+def test_no_python_on_the_main_path(spark):
+    plan = benchmark_hits(documents(spark, (1, "a b c")), spark.createDataFrame([(1, "a b c")], "item_id long, text string"))
+    text = plan._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", text)
