@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -22,15 +23,19 @@ END_ID = 1
 # Text in a shard, about; and words whose ids a task remembers before it starts anew.
 SHARD_BYTES, KEPT_WORDS = 8 << 20, 300_000
 SUFFIX = ".wavelet"
-# Plain letters and the marks after them: two pre-tokens of the tokenizer, whose model takes each as it is.
-PLAIN = re.compile(rb"([A-Za-z]+)([.,;:!?|%&#$*\"()]*)")
+# Letters a-z and those of Latin-1, then marks: two pre-tokens of the tokenizer, whose model takes each as it is.
+PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?|%&#$*\"()]*)")
+# Byte-level models spell a byte as a visible character: itself if it is one, else the next free one from U+0100 on.
+VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+SPELLED = {b: chr(b) for b in VISIBLE} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(VISIBLE)))}
 
 
 class WordEncoder:
     """Ids of texts by the ids of their words.
 
     The tokenizer drops white space before it forms pre-tokens, and none spans it,
-    so a text's ids are its words' ids; each distinct word is encoded once.
+    so a text's ids are its words' ids; each distinct word is encoded once.  A word
+    is one or two parts, and the ids of all parts lie one after another.
     """
 
     def __init__(self, path: str):
@@ -40,31 +45,36 @@ class WordEncoder:
 
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.known: dict[bytes, list[int]] = {}
-        self.flat, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-
-    def part(self, text: bytes) -> list[int]:
-        if text not in self.known:
-            self.known[text] = [t.id for t in self.model.tokenize(text.decode().lower())]
-        return self.known[text]
+        self.part_number: dict[bytes, int] = {b"": 0}
+        self.parts = np.zeros((0, 2), np.int32)
+        self.flat, self.lengths = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def learn(self, words: list[bytes]) -> None:
-        found: list[list[int] | None] = []
-        odd = []
+        known, ids, lengths, pairs, odd = self.part_number, [], [], [], []
         for word in words:
             plain = PLAIN.fullmatch(word)
-            if plain:
-                found.append(self.part(plain[1]) + (self.part(plain[2]) if plain[2] else []))
-            else:
-                odd.append(len(found))
-                found.append(None)
-        if odd:
-            for k, encoding in zip(odd, self.tokenizer.encode_batch_fast([words[k].decode() for k in odd], add_special_tokens=False)):
-                found[k] = encoding.ids
+            if not plain:
+                # No plain part begins with a space, so these names are apart.
+                odd.append(word)
+                pairs.append((b" " + word, b""))
+                continue
+            pairs.append(plain.groups())
+            for part in pairs[-1]:
+                if part not in known:
+                    known[part] = len(known)
+                    text = part.decode().lower()
+                    own = self.model.tokenize(text if text.isascii() else "".join(map(SPELLED.__getitem__, text.encode())))
+                    ids += [t.id for t in own]
+                    lengths.append(len(own))
+        for word, encoding in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)):
+            known[b" " + word] = len(known)
+            ids += encoding.ids
+            lengths.append(len(encoding.ids))
         for word in words:
             self.number[word] = len(self.number)
-        self.lengths = np.r_[self.lengths, np.array([len(f) for f in found], np.int64)]
-        self.flat = np.r_[self.flat, np.array([i for f in found for i in f], np.uint32)]
+        self.parts = np.r_[self.parts, np.array([(known[a], known[b]) for a, b in pairs], np.int32)]
+        self.lengths = np.r_[self.lengths, np.array(lengths, np.int64)]
+        self.flat = np.r_[self.flat, np.array(ids, np.uint32)]
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, each closed by the end id, and how many each has."""
@@ -75,16 +85,22 @@ class WordEncoder:
         fresh = [w for w in dict.fromkeys(words) if w not in self.number]
         if fresh:
             self.learn(fresh)
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        at = self.parts[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].ravel()
         size = self.lengths[at]
         starts = (np.cumsum(self.lengths) - self.lengths)[at]
         counts = np.array([len(own) for own in split])
         total = np.r_[0, np.cumsum(size)]
-        upto = total[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
+        upto = total[2 * np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
         ids = self.flat[np.repeat(starts - total[:-1], size) + np.arange(total[-1])]
         return np.insert(ids, upto, END_ID), np.diff(np.r_[0, upto]) + 1
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder per worker process; its memory is bounded and later tasks find it warm."""
+    return WordEncoder(path)
+
+
 def write_token_files(docs: DataFrame, folder: str, id_column: str = "doc_id", text_column: str = "text",
                       tokenizer_path: str | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write shards of ids below ``folder`` in ascending order of the documents' ids; returns shard, path, documents, ids.
@@ -100,7 +116,7 @@ def write_token_files(docs: DataFrame, folder: str, id_column: str = "doc_id", t
     dealt = plain.repartitionByRange(shards, "id").sortWithinPartitions("id")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = encoder_of(path)
         bits = max(1, (encoder.tokenizer.get_vocab_size() - 1).bit_length())
         kind = np.uint16 if bits <= 16 else np.uint32
         ids, counts, tokens, missing = [], [], [], []
