@@ -8,24 +8,20 @@ from __future__ import annotations
 
 EVENTS = """
 ev AS (
-  SELECT event_id AS n, user_id, event_type, value,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(event_id // 40 AS INTEGER))
-           + to_seconds((event_id % 40) * 3) AS event_time
+  SELECT event_id AS n, user_id % 20 AS u, user_id, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, ts AS event_time
   FROM events
 )"""
 
 # Events of the late-data query happened up to 95 hours before they arrive.
 LATE_EVENTS = """
 punctual AS (
-  SELECT event_id AS n, user_id, event_type, value,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(event_id // 40 AS INTEGER))
-           + to_seconds((event_id % 40) * 3) AS event_time
+  SELECT event_id AS n, user_id % 20 AS u, user_id, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, ts AS event_time
   FROM events
 ),
 ev AS (
-  SELECT n, user_id, event_type, value, k,
+  SELECT n, u, user_id, event_type, value, k,
          event_time - to_hours(CASE WHEN k >= 80 THEN (k - 80) * 5 ELSE 0 END) AS event_time
   FROM punctual
 )"""
@@ -35,29 +31,28 @@ parsed AS (
   SELECT n, 'EV_' || n AS event_id,
          CASE WHEN k IN (11, 12) THEN NULL ELSE event_time END AS "timestamp",
          CASE WHEN k = 9 THEN '' WHEN k = 10 THEN NULL
-              ELSE ['CNC_01', 'ROB_01', 'CNV_01', 'PMP_01'][n % 4 + 1] END AS machine_id,
-         ['cnc_machine', 'robot_arm', 'conveyor_belt', 'pump'][n % 4 + 1] AS machine_type,
-         ['A', 'B', 'C', 'A'][n % 4 + 1] AS floor,
-         CASE WHEN hour(event_time) BETWEEN 6 AND 13 THEN 'morning'
-              WHEN hour(event_time) BETWEEN 14 AND 21 THEN 'evening' ELSE 'night' END AS shift,
-         CASE WHEN k = 8 THEN 'BROKEN_STATUS' WHEN event_type = 'error' THEN 'fault'
+              ELSE 'UNIT_' || u END AS machine_id,
+         ['mill', 'arm', 'belt', 'pump'][u % 4 + 1] AS machine_type,
+         ['north', 'south', 'east'][u % 3 + 1] AS floor,
+         ['early', 'day', 'late'][hour(event_time) // 8 + 1] AS shift,
+         CASE WHEN k = 8 THEN 'melted' WHEN event_type = 'error' THEN 'fault'
               WHEN event_type = 'view' THEN 'idle' ELSE 'running' END AS status,
          CASE WHEN event_type = 'error' THEN 'E00' || (1 + user_id % 8) END AS error_code,
          CASE WHEN k <> 56 THEN event_type = 'error' END AS is_fault,
-         CASE WHEN k <= 2 THEN NULL WHEN k <= 4 THEN 999.0::DOUBLE
+         CASE WHEN k <= 2 THEN NULL WHEN k <= 4 THEN 400.0::DOUBLE
               ELSE 50.0::DOUBLE + value * 0.5::DOUBLE END AS temperature,
          CASE WHEN k <> 55 THEN 1.5::DOUBLE + (k % 50) / 10.0::DOUBLE END AS vibration,
-         CASE WHEN k = 5 THEN -500.0::DOUBLE WHEN k = 6 THEN NULL
+         CASE WHEN k = 5 THEN -1.0::DOUBLE WHEN k = 6 THEN NULL
               ELSE (900 + n % 600)::DOUBLE END AS rpm,
-         CASE WHEN k = 7 THEN -5.0::DOUBLE ELSE 1.5::DOUBLE + (n % 50) / 10.0::DOUBLE END AS power_kw,
-         CASE WHEN n % 4 = 0 THEN k::DOUBLE END AS cnc_oil,
-         CASE WHEN n % 4 = 0 THEN (n % 100)::DOUBLE END AS coolant_pressure,
-         CASE WHEN n % 4 = 1 THEN k::DOUBLE END AS joint_torque,
-         CASE WHEN n % 4 = 1 THEN (n % 100)::DOUBLE END AS force,
-         CASE WHEN n % 4 = 2 THEN k::DOUBLE END AS belt_tension,
-         CASE WHEN n % 4 = 2 THEN (n % 100)::DOUBLE END AS load_weight,
-         CASE WHEN n % 4 = 3 THEN k::DOUBLE END AS flow_rate,
-         CASE WHEN n % 4 = 3 THEN (n % 100)::DOUBLE END AS inlet_pressure
+         CASE WHEN k = 7 THEN -2.5::DOUBLE ELSE 1.5::DOUBLE + (n % 50) / 10.0::DOUBLE END AS power_kw,
+         CASE WHEN u % 4 = 0 THEN k::DOUBLE END AS cnc_oil,
+         CASE WHEN u % 4 = 0 THEN (n % 100)::DOUBLE END AS coolant_pressure,
+         CASE WHEN u % 4 = 1 THEN k::DOUBLE END AS joint_torque,
+         CASE WHEN u % 4 = 1 THEN (n % 100)::DOUBLE END AS force,
+         CASE WHEN u % 4 = 2 THEN k::DOUBLE END AS belt_tension,
+         CASE WHEN u % 4 = 2 THEN (n % 100)::DOUBLE END AS load_weight,
+         CASE WHEN u % 4 = 3 THEN k::DOUBLE END AS flow_rate,
+         CASE WHEN u % 4 = 3 THEN (n % 100)::DOUBLE END AS inlet_pressure
   FROM ev WHERE k <> 13
 ),
 bronze AS (
@@ -114,14 +109,14 @@ gold AS (
 WORKER_BRONZE = """
 parsed AS (
   SELECT n,
-         CASE WHEN k = 9 THEN '' WHEN k = 10 THEN NULL ELSE 'W00' || (1 + n % 4) END AS worker_id,
+         CASE WHEN k = 9 THEN '' WHEN k = 10 THEN NULL ELSE 'HAND_' || u END AS worker_id,
          CASE WHEN k IN (11, 12) THEN NULL ELSE event_time END AS "timestamp",
-         ['A', 'B', 'C', 'A'][n % 4 + 1] AS floor,
-         ['ZONE_1', 'ZONE_2', 'ZONE_3', 'ZONE_1'][n % 4 + 1] AS zone_id,
+         ['north', 'south', 'east'][u % 3 + 1] AS floor,
+         'AREA_' || (u % 5) AS zone_id,
          value >= 2 AS helmet_on,
          CASE WHEN k <> 55 THEN value < 150 END AS safety_vest_on,
-         CAST(CASE WHEN k = 5 THEN -20 WHEN k = 6 THEN NULL ELSE 60 + k % 70 END AS INTEGER) AS heart_rate,
-         CASE WHEN k = 8 THEN 'FLYING' ELSE ['ACTIVE', 'IDLE', 'WALKING'][n % 3 + 1] END AS movement_status,
+         CAST(CASE WHEN k = 5 THEN -7 WHEN k = 6 THEN NULL ELSE 60 + k % 70 END AS INTEGER) AS heart_rate,
+         CASE WHEN k = 8 THEN 'SWIMMING' ELSE ['ACTIVE', 'IDLE', 'WALKING'][n % 3 + 1] END AS movement_status,
          CASE WHEN k <> 56 THEN event_type = 'error' END AS danger_zone,
          CAST(CASE WHEN k <> 57 THEN 10 + (n * 7) % 91 END AS INTEGER) AS fatigue_score
   FROM ev WHERE k <> 13
@@ -198,8 +193,9 @@ unrouted AS (
   WHERE n NOT IN (SELECT n FROM valid) AND n NOT IN (SELECT n FROM quarantine)
 )"""
 
-# Valid rows that are not late: the windows of a slice that ended a minute or more
-# before the newest valid event of the slices before it are closed.
+# Valid rows that are not late: the windows that ended a minute or more before the
+# newest valid event of earlier starts are closed.  A slice here is what one start
+# finds; of its micro-batches the second still goes by the watermark of the first.
 NOT_LATE = """
 bounds AS (SELECT min(event_id) AS first, max(event_id) - min(event_id) + 1 AS width FROM events),
 sliced AS (SELECT valid.*, (n - first) * 3 // width AS slice FROM valid, bounds),
@@ -435,5 +431,11 @@ def oracle() -> dict[str, str]:
         "stream_late_data": late_gold_sql(),
         "stream_silver_append": layer_sql("machine", "silver"),
         "stream_bronze_append": layer_sql("worker", "bronze"),
+        "stream_worker_silver_append": layer_sql("worker", "silver"),
+        "stream_domain_gold_view": layer_sql(
+            "worker", "gold",
+            f"{WORKER_AGGREGATES}, {local('window_start')} AS cairo_window_start, {local('window_end')} AS cairo_window_end",
+        ),
+        "stream_gold_panel": series_sql("machine", "gold", "window_start", "avg_vibration", "median_avg_vibration"),
         "parquet_sink_roundtrip": layer_sql("machine", "bronze"),
     }

@@ -11,12 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.streams import LATENESS, run_slices, slice_bounds
-from floorline.contracts import GOLD_KEYS, MACHINE_SILVER, RELATIONAL_TABLES, SEARCH_INDEXES
+from checks.event_log import PAYLOADS
+from checks.streams import LATENESS, run_slices, slices
+from floorline.contracts import MACHINE_SILVER, RELATIONAL_TABLES, SEARCH_INDEXES
 from floorline.functions.text import to_json_value
 from floorline.operators.enrich import machine_columns, worker_columns
 from floorline.operators.quality import RULES, valid
-from floorline.operators.revisions import latest_revision
 from floorline.plans import layers
 from floorline.plans.dashboards import PANELS, panel
 from floorline.plans.layouts import relational_layout, search_layout
@@ -24,8 +24,6 @@ from floorline.plans.views import VIEWS, local_time_view
 from floorline.session import pin_clock
 from floorline.sinks.batch import Batch
 from floorline.sinks.lake import LakeSink, read_lake
-from floorline.sources.event_log import PAYLOADS
-from floorline.sources.raw import spread
 from floorline.streaming.datasets import DATASETS, dataset
 from floorline.streaming.workspace import shared_folder
 
@@ -68,7 +66,7 @@ def events_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_of(spark: SparkSession, folder: str, domain: str) -> DataFrame:
-    return PAYLOADS[domain](spread(events_of(spark, folder)))
+    return PAYLOADS[domain](events_of(spark, folder))
 
 
 def layer_of(spark: SparkSession, folder: str, domain: str, layer: str) -> DataFrame:
@@ -162,8 +160,7 @@ def _stream_gold(domain: str, late: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         delay = LATENESS if late else None
         root = run_slices(spark, events_of(spark, folder), domain, {"gold"}, delay)
-        changelog = read_lake(spark, root, domain, "gold", revisions=True)
-        return comparable(latest_revision(changelog, GOLD_KEYS[domain]).drop("query_id", "batch_id"))
+        return comparable(read_lake(spark, root, domain, "gold"))
 
     return query
 
@@ -178,14 +175,26 @@ def _stream_layer(domain: str, layer: str) -> Query:
     return query
 
 
+def stream_domain_gold_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Both queries of a domain side by side; the stored gold changelog, its newest revisions, and the view over them."""
+    root = run_slices(spark, events_of(spark, folder), "worker", {"bronze", "silver", "gold"})
+    stored = relational_layout(read_lake(spark, root, "worker", "gold"), "worker_safety_gold")
+    return comparable(local_time_view(stored, "worker_safety_gold_view"))
+
+
+def stream_gold_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """Median panel over gold as a stream has stored it."""
+    root = run_slices(spark, events_of(spark, folder), "machine", {"gold"})
+    return comparable(panel(read_lake(spark, root, "machine", "gold"), "median_vibration"))
+
+
 def parquet_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Machine bronze through the lake sink in batches, the last one written twice."""
     events = events_of(spark, folder)
     root = shared_folder(spark, "lake")
     target, sink = dataset("machine_bronze_lake"), LakeSink(root)
-    bounds = list(enumerate(slice_bounds(events)))
-    for batch_id, (low, high) in [*bounds, bounds[-1]]:
-        part = spread(events.where((F.col("event_id") >= low) & (F.col("event_id") < high)))
+    parts = list(enumerate(slices(events, 3)))
+    for batch_id, part in [*parts, parts[-1]]:
         bronze = layers.bronze_layer(PAYLOADS["machine"](part), "machine")
         sink.write(bronze, target, Batch("roundtrip", batch_id))
     return comparable(read_lake(spark, root, "machine", "bronze"))
@@ -216,5 +225,8 @@ def registered() -> dict[str, Query]:
         "stream_late_data": _stream_gold("machine", late=True),
         "stream_silver_append": _stream_layer("machine", "silver"),
         "stream_bronze_append": _stream_layer("worker", "bronze"),
+        "stream_worker_silver_append": _stream_layer("worker", "silver"),
+        "stream_domain_gold_view": stream_domain_gold_view,
+        "stream_gold_panel": stream_gold_panel,
         "parquet_sink_roundtrip": parquet_sink_roundtrip,
     }

@@ -5,27 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.event_log import PAYLOADS
 from floorline.sinks.lake import LakeSink
-from floorline.sources.event_log import PAYLOADS
-from floorline.sources.raw import read_stream, spread
+from floorline.sources.raw import read_stream
 from floorline.streaming.datasets import DATASETS
 from floorline.streaming.pipelines import start_domain
 from floorline.streaming.workspace import shared_folder, stream_session
 
-SLICES = 3
-FILES_PER_BATCH = 1000
+# Starts of the streams, the arrivals each of them finds, and the files of an arrival; an arrival is a micro-batch.
+STARTS, ARRIVALS, FILES_PER_BATCH = 3, 2, 4
+SLICES = STARTS * ARRIVALS
 WIRE_FILES = "event_id BIGINT, value BINARY"
 
 # How much earlier than it arrives an event of the late-data query happened.
 LATENESS = "make_dt_interval(0, CASE WHEN k >= 80 THEN (k - 80) * 5 ELSE 0 END)"
 
 
-def slice_bounds(events: DataFrame) -> list[tuple[int, int]]:
-    """``SLICES`` equal id ranges ``[from, to)`` that cover all events."""
+def slices(events: DataFrame, count: int = SLICES) -> list[DataFrame]:
+    """The events in ``count`` equal id ranges, one after another; rows without an id come with the first."""
     first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    if first is None:
+        return [events]
     width = last - first + 1
-    edges = [first + -(-i * width // SLICES) for i in range(SLICES + 1)]
-    return list(zip(edges, edges[1:]))
+    number = F.coalesce(F.expr(f"(event_id - {first}L) * {count} div {width}L"), F.lit(0))
+    return [events.where(number == i) for i in range(count)]
 
 
 def run_slices(
@@ -37,18 +40,18 @@ def run_slices(
 ) -> str:
     """Feed all events slice by slice to the streams of a domain; returns the lake root.
 
-    For every slice the queries are started again on the same checkpoint and run
+    Slices arrive as ordered files and a micro-batch takes one slice.  For every
+    few of them the queries are started again on the same checkpoint and run
     until they have taken in everything there is.
     """
     work = shared_folder(spark, f"{domain}-stream")
     session = stream_session(spark)
-    # Without gold the order of events does not matter and a slice may be taken in parts.
-    bounded = {} if "gold" in layers else {"maxFilesPerTrigger": FILES_PER_BATCH}
     chosen = [d for d in DATASETS if d.domain == domain and d.layer in layers]
-    for low, high in slice_bounds(events):
-        arrived = spread(events.where((F.col("event_id") >= low) & (F.col("event_id") < high)))
-        PAYLOADS[domain](arrived, delay).write.mode("append").parquet(f"{work}/wire")
-        raw = read_stream(session, "parquet", bounded, schema=WIRE_FILES, path=f"{work}/wire")
+    arriving = slices(events)
+    for begin in range(0, len(arriving), ARRIVALS):
+        for arrived in arriving[begin:begin + ARRIVALS]:
+            PAYLOADS[domain](arrived, delay).repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{work}/wire")
+        raw = read_stream(session, "parquet", {"maxFilesPerTrigger": FILES_PER_BATCH}, schema=WIRE_FILES, path=f"{work}/wire")
         queries = start_domain(
             raw, domain, {"lake": LakeSink(f"{work}/lake")}, f"{work}/checkpoint",
             {"availableNow": True}, chosen,

@@ -31,6 +31,8 @@ from floorline.streaming.workspace import stream_session  # noqa: E402
 
 # Source topics.
 TOPICS = {"machine": "sensor-events", "worker": "worker-events"}
+# Bounds of a micro-batch unless the source options say otherwise; a backlog is worked off in several.
+RATES = {"kafka": {"maxOffsetsPerTrigger": "1000000"}, "text": {"maxFilesPerTrigger": "1000"}}
 
 
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
@@ -43,6 +45,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--domains", nargs="+", choices=list(TOPICS), default=list(TOPICS))
     parser.add_argument("--lake", help="root of the Parquet lake")
     parser.add_argument("--database", help="JDBC URL")
+    parser.add_argument("--connections", type=int, default=16, help="tasks that write to the database at a time")
     parser.add_argument("--search", help="search nodes, host[:port]")
     parser.add_argument("--republish", action="store_true", help="send machine silver back to the brokers")
     parser.add_argument("--only", nargs="+", choices=[d.name for d in DATASETS],
@@ -53,6 +56,18 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     options = parser.parse_args(arguments)
     if bool(options.servers) == bool(options.files):
         parser.error("give either --servers or --files")
+    if options.republish and not options.servers:
+        parser.error("--republish needs --servers")
+    stores = {"lake": options.lake, "relational": options.database, "search": options.search, "topic": options.republish}
+    if not any(stores.values()):
+        parser.error("give at least one of --lake, --database, --search and --republish")
+    for wanted in map(dataset, options.only or ()):
+        if wanted.domain not in options.domains:
+            parser.error(f"{wanted.name} is not of the domains {' '.join(options.domains)}")
+        if not stores[wanted.store]:
+            parser.error(f"{wanted.name} needs the address of its {wanted.store} store")
+    if options.database and not {"FLOORLINE_DB_USER", "FLOORLINE_DB_PASSWORD"} <= os.environ.keys():
+        parser.error("--database needs FLOORLINE_DB_USER and FLOORLINE_DB_PASSWORD in the environment")
     return options
 
 
@@ -63,7 +78,8 @@ def sinks(options: argparse.Namespace) -> dict[str, Sink]:
         chosen["lake"] = LakeSink(options.lake.rstrip("/"))
     if options.database:
         chosen["relational"] = RelationalSink(
-            options.database, os.environ["FLOORLINE_DB_USER"], os.environ["FLOORLINE_DB_PASSWORD"]
+            options.database, os.environ["FLOORLINE_DB_USER"], os.environ["FLOORLINE_DB_PASSWORD"],
+            connections=options.connections,
         )
     if options.search:
         host, _, port = options.search.partition(":")
@@ -77,8 +93,8 @@ def source(session: SparkSession, options: argparse.Namespace, domain: str) -> D
     topic = TOPICS[domain]
     extra = dict(option.split("=", 1) for option in options.source_option)
     if options.files:
-        return read_stream(session, "text", extra, path=f"{options.files}/{topic}")
-    return read_topic(session, options.servers, topic, **extra)
+        return read_stream(session, "text", {**RATES["text"], **extra}, path=f"{options.files}/{topic}")
+    return read_topic(session, options.servers, topic, **{**RATES["kafka"], **extra})
 
 
 def trigger(options: argparse.Namespace) -> dict[str, object] | None:

@@ -12,6 +12,7 @@ STEPS = (
     "1 second", "5 seconds", "10 seconds", "30 seconds", "1 minute", "5 minutes", "10 minutes",
     "30 minutes", "1 hour", "3 hours", "12 hours", "1 day", "7 days", "30 days", "365 days",
 )
+MICROS = {"second": 10 ** 6, "minute": 60 * 10 ** 6, "hour": 3600 * 10 ** 6, "day": 86_400 * 10 ** 6}
 AUTO = "auto"
 MAX_BUCKETS = 100
 
@@ -20,15 +21,17 @@ SPINE_BLOCK = 4096
 
 
 def auto_interval(rows: DataFrame, ts: str, max_buckets: int = MAX_BUCKETS) -> str:
-    """The shortest step that covers the rows' time span in ``max_buckets`` buckets.
+    """The shortest step that covers the rows' times in ``max_buckets`` aligned buckets; beyond the last step, it doubles.
 
-    Runs a job that brings one row, naming the step, to the driver.
+    Runs a job that brings one row, the first and the last time, to the driver.
     """
-    span = rows.agg((F.max(ts) - F.min(ts)).alias("span"))
-    fits = F.when(F.col("span").isNull(), STEPS[0])
-    for step in STEPS:
-        fits = fits.when(F.col("span") <= F.expr(f"INTERVAL {step}") * max_buckets, step)
-    return span.select(fits.otherwise(STEPS[-1])).first()[0]
+    first, last = rows.agg(F.unix_micros(F.min(ts)), F.unix_micros(F.max(ts))).first()
+    for step in (*STEPS, *(f"{365 * 2 ** k} days" for k in range(1, 40))):
+        amount, unit = step.split()
+        width = int(amount) * MICROS[unit.rstrip("s")]
+        if first is None or last // width - first // width < max_buckets:
+            return step
+    raise ValueError("no step covers these times")
 
 
 def bucket_spine(rows: DataFrame, ts: str, interval: str) -> DataFrame:
@@ -68,15 +71,23 @@ def median_series(
     exact: bool = True,
     fill_empty: bool = True,
     out: str | None = None,
+    since: str | None = None,
+    until: str | None = None,
 ) -> DataFrame:
     """``bucket`` and the median of ``reading`` per bucket of ``interval``.
 
     ``interval`` is a fixed duration such as ``"15 minutes"``, or ``"auto"``.
 
-    Partial buckets at both ends are kept.  With ``fill_empty`` a bucket without
+    ``since`` and ``until`` (excluded) are the time range of the panel; without them
+    the series runs from the first event to the last, so one event with a year far
+    off makes it that long.  Partial buckets at both ends are kept.  With ``fill_empty`` a bucket without
     events is a row with a null median.
     """
     out = out or f"median_{reading}"
+    if since:
+        rows = rows.where(F.col(ts) >= F.to_timestamp(F.lit(since)))
+    if until:
+        rows = rows.where(F.col(ts) < F.to_timestamp(F.lit(until)))
     if interval == AUTO:
         interval = auto_interval(rows, ts)
     placed = rows.where(F.col(ts).isNotNull()).select(F.window(ts, interval)["start"].alias("bucket"), reading)

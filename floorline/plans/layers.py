@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 
 from floorline.operators import decode, enrich, gold, quality
@@ -10,9 +12,16 @@ BRONZE = {"machine": decode.machine_bronze, "worker": decode.worker_bronze}
 SILVER = {"machine": enrich.machine_silver, "worker": enrich.worker_silver}
 GOLD = {"machine": gold.machine_gold, "worker": gold.worker_gold}
 
+# Bronze columns that the rules and the aggregates of gold read.
+GOLD_INPUTS = {
+    "machine": ("timestamp", "machine_id", "status", "is_fault", "temperature", "vibration", "rpm", "power_kw"),
+    "worker": ("timestamp", "worker_id", "helmet_on", "safety_vest_on", "heart_rate", "movement_status",
+               "danger_zone", "fatigue_score"),
+}
+
 
-def bronze_layer(raw: DataFrame, domain: str) -> DataFrame:
-    return BRONZE[domain](raw)
+def bronze_layer(raw: DataFrame, domain: str, columns: Iterable[str] | None = None) -> DataFrame:
+    return BRONZE[domain](raw, columns)
 
 
 def quarantine_layer(bronze: DataFrame, domain: str) -> DataFrame:
@@ -42,7 +51,7 @@ def stateless_layers(bronze: DataFrame, domain: str) -> dict[str, DataFrame]:
 
 def build_layer(raw: DataFrame, domain: str, layer: str, watermark: str | None = None) -> DataFrame:
     """One layer straight from raw payloads."""
-    bronze = bronze_layer(raw, domain)
     if layer == "gold":
+        bronze = bronze_layer(raw, domain, GOLD_INPUTS[domain])
         return gold_layer(silver_layer(bronze, domain), domain, watermark)
-    return stateless_layers(bronze, domain)[layer]
+    return stateless_layers(bronze_layer(raw, domain), domain)[layer]

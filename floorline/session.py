@@ -22,8 +22,6 @@ def build_session(app_name: str = "floorline", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Generated methods above 8000 bytes are never compiled by the JVM.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
         # Recording the call site of every column expression dominates plan building.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{key.replace("__", "."): value for key, value in conf.items()},

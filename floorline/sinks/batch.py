@@ -17,4 +17,7 @@ class Batch(NamedTuple):
 def current_batch(rows: DataFrame, batch_id: int) -> Batch:
     """The batch a ``foreachBatch`` function is called for."""
     query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-    return Batch(query_id or "batch", batch_id)
+    if not query_id:
+        # Two queries under one made-up name would overwrite each other's output.
+        raise ValueError("a batch is only known inside foreachBatch: the query id is missing")
+    return Batch(query_id, batch_id)

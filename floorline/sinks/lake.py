@@ -1,44 +1,67 @@
-"""Parquet lake: ``<root>/<layer>/<table>/query_id=.../batch_id=...``.
+"""Parquet lake: ``<root>/<layer>/<table>/event_date=.../query_id=.../batch_id=...``.
 
-A batch owns its directory and overwrites it, so a batch replayed after a failure
-replaces its earlier, perhaps partial, output instead of adding to it.
+The day is outermost, so a reader of some days lists only those.  Below it a batch
+owns its folders and overwrites them, so a batch replayed after a failure replaces
+its earlier, perhaps partial, output instead of adding to it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+import time
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from floorline.contracts import LAYERS
+from floorline.contracts import GOLD_KEYS, LAYERS
 from floorline.operators.contract import require_columns
+from floorline.operators.revisions import latest_revision
+from floorline.plans.layers import build_layer
 from floorline.sinks.batch import Batch
 from floorline.streaming.datasets import Dataset, lake_path
 
-# Columns a layer's files are laid out by, so that readers can skip days.
-PARTITIONS = {"silver": ("event_date",)}
+DAY, BATCH, REVISION = "event_date", ("query_id", "batch_id"), "revision"
 
 
 @dataclass(frozen=True)
 class LakeSink:
     root: str
-    partition_by: Mapping[str, Sequence[str]] = field(default_factory=lambda: PARTITIONS)
 
     def write(self, rows: DataFrame, dataset: Dataset, batch: Batch) -> None:
         chosen = require_columns(rows, dataset.columns, dataset.name)
-        keys = [name for name in self.partition_by.get(dataset.layer, ()) if name in chosen.columns]
-        if keys:
-            # Without this every task writes a file per day.  Rebalancing brings
-            # a day together but still splits days too large for one task.
-            chosen = chosen.hint("rebalance", *keys)
-        chosen.write.mode("overwrite").partitionBy(*keys).parquet(
-            f"{self.root}/{dataset.target}/query_id={batch.query_id}/batch_id={batch.batch_id}"
-        )
+        if DAY not in chosen.columns:
+            chosen = chosen.withColumn(DAY, F.to_date("window_start" if dataset.layer == "gold" else "timestamp"))
+        if dataset.layer == "gold":
+            # Rises over batches and restarts, also with a new checkpoint, whose batch ids begin at 0 again.
+            chosen = chosen.withColumn(REVISION, F.lit(time.time_ns() // 1000))
+        # Without this every task writes a file per day.  Rebalancing brings a day
+        # together but still splits days too large for one task.
+        placed = chosen.withColumns({"query_id": F.lit(batch.query_id), "batch_id": F.lit(batch.batch_id).cast("long")})
+        placed.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            DAY, *BATCH).parquet(f"{self.root}/{dataset.target}")
+
+
+def stored_schema(spark: SparkSession, domain: str, layer: str) -> T.StructType:
+    """Columns of a layer's files and folders, from the layer's own types."""
+    empty = spark.createDataFrame([], "value BINARY")
+    fields = [T.StructField(f.name, f.dataType) for f in build_layer(empty, domain, layer).schema if f.name != DAY]
+    if layer == "gold":
+        fields.append(T.StructField(REVISION, T.LongType()))
+    return T.StructType([*fields, T.StructField(DAY, T.DateType()), T.StructField("query_id", T.StringType()),
+                         T.StructField("batch_id", T.LongType())])
 
 
 def read_lake(spark: SparkSession, root: str, domain: str, layer: str, revisions: bool = False) -> DataFrame:
-    """A stored layer in layer column order; ``revisions`` adds query and batch id."""
-    stored = spark.read.parquet(f"{root}/{lake_path(domain, layer)}")
-    extra = ("query_id", "batch_id") if revisions else ()
-    return stored.select(*LAYERS[domain, layer], *extra)
+    """A stored layer in layer column order, gold as it is now: the newest revision of each window.
+
+    ``revisions`` gives all that was ever stored, with query id, batch id and, for
+    gold, ``revision``.  Types are declared, so no footers are read for them and a
+    layer that holds nothing yet has no rows.
+    """
+    stored = spark.read.schema(stored_schema(spark, domain, layer)).parquet(f"{root}/{lake_path(domain, layer)}")
+    if revisions:
+        return stored.select(*LAYERS[domain, layer], *BATCH, *([REVISION] if layer == "gold" else []))
+    if layer == "gold":
+        stored = latest_revision(stored, GOLD_KEYS[domain], REVISION)
+    return stored.select(*LAYERS[domain, layer])

@@ -22,6 +22,8 @@ class RelationalSink:
     driver: str = "org.postgresql.Driver"
     connections: int = 16
     extra: Mapping[str, str] = field(default_factory=dict)
+    # The writer merges partitions down to its connections; what feeds it must not be computed in them.
+    few_tasks = True
 
     def connection(self, table: str) -> dict[str, str]:
         return {

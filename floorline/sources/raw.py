@@ -39,13 +39,3 @@ def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) ->
     """Stream of a message topic, from the latest offset on unless told otherwise."""
     return read_stream(spark, "kafka", {**topic_options(servers, topic), **options})
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan with at least one partition per core.
-
-    A file with a single row group is read by a single task whatever its size.
-    Payload parsing is CPU-bound, so such a small input is dealt out to all
-    cores; a scan that already has enough partitions is returned unchanged.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -46,10 +46,11 @@ class Sink(Protocol):
 def _writer(derive: Derive, outputs: Outputs) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: every output of one batch, or an error.
 
-    With several outputs the batch is persisted.  The first write runs alone and
-    so computes each partition once, state included; the others then read what is
-    kept and run side by side, as most wait on different stores.  An error ends
-    the query; after a restart the whole batch is run again.
+    With several outputs, or one that writes with few tasks, the batch is
+    persisted and filled by a pass of its own, in as many tasks as the batch has
+    partitions and with each partition, state included, computed once.  The
+    outputs then read what is kept and run side by side, as most wait on different
+    stores.  An error ends the query; after a restart the whole batch is run again.
     """
 
     def write_one(rows: DataFrame, dataset: Dataset, sink: Sink, batch: Batch) -> None:
@@ -59,23 +60,29 @@ def _writer(derive: Derive, outputs: Outputs) -> Callable[[DataFrame, int], None
             log.exception("%s: batch %s not written", dataset.name, batch.batch_id)
             raise
 
+    kept = len(outputs) > 1 or any(getattr(sink, "few_tasks", False) for _, sink in outputs)
+
     def write(rows: DataFrame, batch_id: int) -> None:
         batch = current_batch(rows, batch_id)
-        if len(outputs) > 1:
+        if kept:
             rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if kept:
+                rows.write.format("noop").mode("append").save()
             derived = derive(rows)
-            (dataset, sink), *others = outputs
-            write_one(derived[dataset.layer], dataset, sink, batch)
-            if others:
-                # The threads' Spark jobs belong to the query and stop with it.
-                job = inheritable_thread_target(rows.sparkSession)(write_one)
-                with ThreadPoolExecutor(min(len(others), CONCURRENT_WRITES)) as pool:
-                    writes = [pool.submit(job, derived[d.layer], d, sink, batch) for d, sink in others]
-                for done in writes:
-                    done.result()
+            if len(outputs) == 1:
+                dataset, sink = outputs[0]
+                write_one(derived[dataset.layer], dataset, sink, batch)
+                return
+            # The threads' Spark jobs belong to the query and stop with it.
+            job = inheritable_thread_target(rows.sparkSession)(write_one)
+            with ThreadPoolExecutor(min(len(outputs), CONCURRENT_WRITES)) as pool:
+                writes = [pool.submit(job, derived[d.layer], d, sink, batch) for d, sink in outputs]
+            for done in writes:
+                done.result()
         finally:
-            rows.unpersist()
+            if kept:
+                rows.unpersist()
 
     return write
 
@@ -122,6 +129,12 @@ def start_gold(
     )
 
 
+def cadence(outputs: Outputs) -> Mapping | None:
+    """The trigger that a shared query's datasets have in common."""
+    triggers = {d.trigger for d, _ in outputs}
+    return {"processingTime": triggers.pop()} if len(triggers) == 1 and None not in triggers else None
+
+
 def start_domain(
     raw: DataFrame,
     domain: str,
@@ -133,16 +146,18 @@ def start_domain(
     """All datasets of a domain whose store has an entry in ``sinks``.
 
     ``trigger`` holds the arguments of ``DataStreamWriter.trigger``, e.g.
-    ``{"processingTime": "2 seconds"}``; by default batches run back to back.
+    ``{"processingTime": "2 seconds"}``.  Without it a query keeps the cadence of
+    its datasets: theirs if they all have the same one, back to back otherwise,
+    as one pass serves them all and none may wait longer than it should.
     """
     outputs = [(d, sinks[d.store]) for d in datasets if d.domain == domain and d.store in sinks]
     stateless = [(d, sink) for d, sink in outputs if d.layer != "gold"]
     gold = [(d, sink) for d, sink in outputs if d.layer == "gold"]
     queries = []
     if stateless:
-        queries.append(start_stateless(raw, domain, stateless, checkpoint, trigger))
+        queries.append(start_stateless(raw, domain, stateless, checkpoint, trigger or cadence(stateless)))
     if gold:
-        queries.append(start_gold(raw, domain, gold, checkpoint, trigger))
+        queries.append(start_gold(raw, domain, gold, checkpoint, trigger or cadence(gold)))
     return queries
 
 
@@ -162,5 +177,7 @@ def start_dataset(
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
-    """Wait until a query of the session ends; raises if it failed."""
+    """Wait until a query of the session ends; raises if it failed, or if there is none to wait for."""
+    if not spark.streams.active and timeout is None:
+        raise ValueError("no query is running")
     return spark.streams.awaitAnyTermination(timeout)

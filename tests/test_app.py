@@ -69,7 +69,7 @@ def test_sinks_follow_the_addresses(monkeypatch):
     [([], None), (["--once"], {"availableNow": True}), (["--trigger", "2 seconds"], {"processingTime": "2 seconds"})],
 )
 def test_triggers(arguments, expected):
-    assert app.trigger(app.parse(["--servers", "a:1", "--checkpoint", "ck", *arguments])) == expected
+    assert app.trigger(app.parse(["--servers", "a:1", "--checkpoint", "ck", "--lake", "l", *arguments])) == expected
 
 
 def test_source_options_bound_the_batches(spark, wire):
@@ -84,7 +84,27 @@ def test_source_options_bound_the_batches(spark, wire):
     assert sorted(row["count"] for row in stored.groupBy("batch_id").count().collect()) == [1, 3]
 
 
-@pytest.mark.parametrize("arguments", [[], ["--servers", "a:1", "--files", "f"]])
-def test_exactly_one_source(arguments):
+@pytest.mark.parametrize("arguments", [
+    ["--lake", "l"], ["--servers", "a:1", "--files", "f", "--lake", "l"],
+    ["--files", "f", "--lake", "l", "--republish"], ["--files", "f"],
+    ["--files", "f", "--lake", "l", "--domains", "worker", "--only", "machine_gold_lake"],
+    ["--files", "f", "--lake", "l", "--only", "machine_gold_relational"],
+    ["--files", "f", "--database", "jdbc:x"],
+])
+def test_options_that_cannot_work_are_rejected(monkeypatch, arguments):
+    """No source or two, no broker, no store, a dataset of another domain or without its store, no login."""
+    monkeypatch.delenv("FLOORLINE_DB_USER", raising=False)
     with pytest.raises(SystemExit):
         app.parse(["--checkpoint", "ck", *arguments])
+
+
+def test_sources_have_a_rate_by_default(spark, wire, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(app, "read_topic", lambda session, servers, topic, **options: asked.setdefault(topic, options))
+    monkeypatch.setattr(app, "read_stream", lambda session, fmt, options, path: asked.setdefault(fmt, options))
+    base = ["--checkpoint", "ck", "--lake", "l"]
+    app.source(spark, app.parse([*base, "--servers", "a:1"]), "machine")
+    app.source(spark, app.parse([*base, "--servers", "a:1", "--source-option", "maxOffsetsPerTrigger=5"]), "worker")
+    app.source(spark, app.parse([*base, "--files", "f"]), "machine")
+    assert asked["sensor-events"] == {"maxOffsetsPerTrigger": "1000000"} and asked["worker-events"] == {"maxOffsetsPerTrigger": "5"}
+    assert asked["text"] == {"maxFilesPerTrigger": "1000"}

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from conftest import machine, worker
 
 from floorline.contracts import MACHINE_BRONZE, WORKER_BRONZE
 from floorline.operators.decode import machine_bronze, worker_bronze
+from floorline.plans.layers import build_layer
 
 
 def test_machine_fields_are_flattened_and_renamed(raw):
@@ -64,3 +66,21 @@ def test_time_zones_and_bad_times(raw):
     assert [row.timestamp for row in rows] == [
         datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 0, 0, 123456), None, None,
     ]
+
+
+@pytest.mark.parametrize("domain", ["machine", "worker"])
+def test_gold_parses_only_what_it_reads(raw, domain):
+    """One parse, of the gold inputs alone."""
+    document = {"machine": machine, "worker": worker}[domain]()
+    gold = build_layer(raw(document), domain, "gold")
+    plan = gold._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert not any(name in plan for name in ("sensors", "error_code", "shift", "zone_id", "event_id"))
+    assert gold.count() == 1
+
+
+def test_pruned_columns_keep_their_types(raw):
+    whole, part = machine_bronze(raw(machine())), machine_bronze(raw(machine()), ("machine_id", "rpm"))
+    assert whole.dtypes == part.dtypes
+    row = part.first()
+    assert (row.machine_id, row.rpm, row.temperature, row.timestamp) == ("CNC_01", 1000.0, None, None)

@@ -64,7 +64,7 @@ def test_worker_window_edges_and_counts(raw):
     assert second.window_start == datetime(2024, 1, 1, 0, 5)
 
 
-@pytest.mark.parametrize(("domain", "rows"), [("machine", 200), ("worker", 100)])
+@pytest.mark.parametrize(("domain", "rows"), [("machine", 851), ("worker", 924)])
 def test_windows_on_the_event_log(spark, domain, rows):
     assert layer_of(spark, SMALL, domain, "gold").count() == rows
 

@@ -118,12 +118,13 @@ def test_spine_of_nothing_is_empty(spark):
     ("span", "interval"),
     [
         (timedelta(0), "1 second"),
-        (timedelta(seconds=100), "1 second"),
-        (timedelta(seconds=101), "5 seconds"),
+        (timedelta(seconds=99), "1 second"),
+        (timedelta(seconds=100), "5 seconds"),
         (timedelta(hours=9), "10 minutes"),
         (timedelta(days=5), "3 hours"),
         (timedelta(days=100), "1 day"),
-        (timedelta(days=400_000), "365 days"),
+        (timedelta(days=36_000), "365 days"),
+        (timedelta(days=400_000), "5840 days"),
     ],
 )
 def test_automatic_interval(spark, span, interval):
@@ -131,6 +132,19 @@ def test_automatic_interval(spark, span, interval):
     assert auto_interval(ends, "ts") == interval
 
 
+def test_automatic_interval_counts_aligned_buckets(spark):
+    """A span off the minute boundary touches one bucket more than its length has minutes."""
+    ends = spark.createDataFrame([(datetime(2024, 1, 1, 0, 0, 30),), (datetime(2024, 1, 1, 1, 40, 29),)], "ts TIMESTAMP")
+    assert auto_interval(ends, "ts") == "5 minutes"
+
+
+def test_panel_range_bounds_the_series(spark):
+    rows = spark.sql("SELECT * FROM VALUES (timestamp'0001-01-01', 1D), (timestamp'2024-01-01 05:30:00', 2D), "
+                     "(timestamp'2024-01-01 07:10:00', 3D), (timestamp'9999-01-01', 4D) AS t(ts, v)")
+    series = median_series(rows, "ts", "v", since="2024-01-01", until="2024-01-02").orderBy("bucket").collect()
+    assert [(r.bucket.hour, r.median_v) for r in series] == [(5, 2.0), (6, None), (7, 3.0)]
+
+
 def test_automatic_series(spark, gappy):
     rows = median_series(gappy, "ts", "v", "auto").collect()
     assert len(rows) == 41 and {row.bucket.minute % 5 for row in rows} == {0}

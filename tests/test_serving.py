@@ -94,7 +94,7 @@ def test_missing_columns_are_named(raw):
 def test_latest_revision_takes_the_newest_batch(spark):
     changelog = spark.createDataFrame(
         [("a", 1, 10, 0), ("a", 1, 12, 10), ("a", 1, 11, 9), ("b", 1, 5, 2)],
-        "machine_id STRING, window_start INT, n INT, batch_id INT",
+        "machine_id STRING, window_start INT, n INT, revision INT",
     )
     rows = latest_revision(changelog, ["machine_id", "window_start"]).orderBy("machine_id").collect()
     assert [(r.machine_id, r.n) for r in rows] == [("a", 12), ("b", 5)]

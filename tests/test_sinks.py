@@ -9,12 +9,12 @@ from conftest import machine, worker
 from floorline.contracts import LAYERS
 from floorline.operators.contract import ContractError
 from floorline.plans.layers import build_layer
-from floorline.sinks.batch import Batch
+from floorline.sinks.batch import Batch, current_batch
 from floorline.sinks.lake import LakeSink, read_lake
 from floorline.sinks.relational import RelationalSink
 from floorline.sinks.search import SearchSink
 from floorline.sinks.topic import TopicSink
-from floorline.sources.raw import read_topic, spread, topic_options
+from floorline.sources.raw import read_topic, topic_options
 from floorline.streaming.datasets import DATASETS, dataset
 
 
@@ -54,6 +54,35 @@ def test_lake_rows_come_back_unchanged_and_days_can_be_skipped(spark, raw, tmp_p
     assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_day_is_read_without_listing_the_others(spark, raw, tmp_path):
+    """The day is the outermost folder; a batch without rows leaves a readable layer."""
+    sink, target = LakeSink(str(tmp_path)), dataset("worker_silver_lake")
+    sink.write(build_layer(raw(worker(worker_id="")), "worker", "silver"), target, Batch("q", 0))
+    assert read_lake(spark, str(tmp_path), "worker", "silver").count() == 0
+    for i in range(1, 4):
+        rows = raw(worker(timestamp=f"2024-01-0{i}T00:00:00Z"), worker(timestamp="2024-01-05T00:00:00Z"))
+        LakeSink(str(tmp_path)).write(build_layer(rows, "worker", "bronze"), dataset("worker_bronze_lake"), Batch("q", i))
+    folder = tmp_path / "bronze" / "worker_bronze_data"
+    assert sorted(p.name for p in folder.iterdir() if "=" in p.name) == [f"event_date=2024-01-0{i}" for i in (1, 2, 3, 5)]
+    assert len(list((folder / "event_date=2024-01-05" / "query_id=q").iterdir())) == 3
+
+
+def test_gold_is_read_as_it_is_now(spark, raw, tmp_path):
+    """Also after a start on a new checkpoint, whose batch ids begin at 0 again."""
+    target, sink = dataset("worker_gold_lake"), LakeSink(str(tmp_path))
+    for query, batch, scores in (("q1", 0, (10,)), ("q1", 1, (10, 30)), ("q2", 0, (10, 30, 80))):
+        gold = build_layer(raw(*(worker(fatigue_score=s) for s in scores)), "worker", "gold")
+        sink.write(gold, target, Batch(query, batch))
+    now = read_lake(spark, str(tmp_path), "worker", "gold")
+    assert now.dtypes == gold.dtypes and [r.avg_fatigue_score for r in now.collect()] == [40.0]
+    assert read_lake(spark, str(tmp_path), "worker", "gold", revisions=True).count() == 3
+
+
+def test_a_batch_is_known_only_inside_a_stream(spark):
+    with pytest.raises(ValueError, match="query id"):
+        current_batch(spark.range(1), 0)
+
+
 def test_lake_refuses_rows_without_the_layer_columns(raw, tmp_path):
     bronze = build_layer(raw(worker()), "worker", "bronze")
     with pytest.raises(ContractError, match="heart_rate_status"):
@@ -95,14 +124,6 @@ def test_topic_source_needs_its_connector(spark):
         read_topic(spark, "a:1", "sensor-events")
 
 
-def test_small_scans_are_spread_and_wide_ones_left_alone(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
-    one = spread(spark.read.parquet(f"{tmp_path}/one"))
-    assert one.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide) is wide
-
-
 def test_relational_reads_are_sliced_by_time():
     sink = RelationalSink("jdbc:postgresql://host/db", "me", "secret", connections=8)
     options = sink.read_options("worker_safety_gold", "2024-01-01 00:00:00", "2024-02-01 00:00:00")

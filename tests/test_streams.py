@@ -9,13 +9,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from checks.queries import layer_of, raw_of
-from checks.streams import run_slices, slice_bounds
-from floorline.contracts import GOLD_KEYS
-from floorline.operators.revisions import latest_revision
+from checks.event_log import PAYLOADS
+from checks.streams import FILES_PER_BATCH, SLICES, run_slices, slices
+from floorline.plans.layers import build_layer
 from floorline.sinks.lake import LakeSink, read_lake
 from floorline.sources.raw import read_stream
 from floorline.streaming.datasets import DATASETS, dataset
-from floorline.streaming.pipelines import await_any, start_dataset, start_domain
+from floorline.streaming.pipelines import await_any, cadence, start_dataset, start_domain
 from floorline.streaming.workspace import shared_folder, stream_session
 
 ONCE = {"availableNow": True}
@@ -78,8 +78,8 @@ def test_stream_equals_batch(spark, domain):
         stored, batch = read_lake(spark, root, domain, layer), layer_of(spark, SMALL, domain, layer)
         assert stored.exceptAll(batch).isEmpty() and batch.exceptAll(stored).isEmpty()
     changelog = read_lake(spark, root, domain, "gold", revisions=True)
-    newest = latest_revision(changelog, GOLD_KEYS[domain]).drop("query_id", "batch_id")
-    assert changelog.count() > newest.count()
+    newest = read_lake(spark, root, domain, "gold")
+    assert changelog.count() >= newest.count()
 
     def rounded(rows):
         return rows.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes))
@@ -90,10 +90,31 @@ def test_stream_equals_batch(spark, domain):
 
 
 def test_slices_cover_every_event_once(spark):
-    events = spark.range(5, 105).withColumnRenamed("id", "event_id")
-    bounds = slice_bounds(events)
-    assert bounds[0][0] == 5 and bounds[-1][1] == 105
-    assert all(a[1] == b[0] for a, b in zip(bounds, bounds[1:]))
+    """Ids of any size, and rows without one."""
+    for first in (5, 10 ** 12):
+        events = spark.range(first, first + 100).withColumnRenamed("id", "event_id")
+        events = events.union(spark.sql("SELECT CAST(NULL AS BIGINT) AS event_id"))
+        parts = [[r.event_id for r in part.collect()] for part in slices(events)]
+        assert len(parts) == SLICES and [None] == [i for part in parts for i in part if i is None] and None in parts[0]
+        found = [i for part in parts for i in sorted(x for x in part if x is not None)]
+        assert found == list(range(first, first + 100))
+    assert [part.count() for part in slices(events.limit(0))] == [0]
+
+
+def test_an_arrival_is_a_micro_batch(spark):
+    """Gold streams take several bounded batches in a start."""
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    root = run_slices(spark, events, "worker", {"gold"})
+    assert read_lake(spark, root, "worker", "gold", revisions=True).select("batch_id").distinct().count() >= SLICES
+    wire = spark.read.parquet(root.replace("/lake", "/wire"))
+    assert len(wire.inputFiles()) == SLICES * FILES_PER_BATCH and wire.count() == events.count()
+
+
+def test_large_ids_have_payloads(spark):
+    rows = spark.sql("""SELECT 999999999999L + id AS event_id, timestamp'2024-05-01 10:00:00' AS ts, id AS user_id, 'view' AS event_type,
+                        1.5D AS value, '{"k": 20}' AS props FROM range(50)""")
+    for domain in PAYLOADS:
+        assert build_layer(PAYLOADS[domain](rows), domain, "silver").count() == 50
 
 
 def test_late_events(session, arrivals, tmp_path):
@@ -216,6 +237,34 @@ def test_append_mode_waits_for_the_watermark(session, arrivals, tmp_path):
     assert closed_windows() == [(datetime(2024, 1, 1), 2)]
 
 
+def test_waiting_for_nothing_is_an_error(spark):
+    with pytest.raises(ValueError, match="no query"):
+        await_any(spark.newSession())
+
+
+def test_shared_queries_keep_a_common_cadence():
+    lake, search = dataset("machine_bronze_lake"), dataset("machine_silver_search")
+    relational = dataset("machine_bronze_relational")
+    assert cadence([(search, None), (relational, None)]) == {"processingTime": "2 seconds"}
+    assert cadence([(lake, None), (relational, None)]) is None and cadence([(lake, None)]) is None
+
+
+def test_a_sink_with_few_tasks_does_not_narrow_the_batch(session, arrivals, tmp_path):
+    """Each payload is decoded in the batch's own partitions, once, before the sink merges them."""
+    seen = []
+
+    class Narrow:
+        few_tasks = True
+
+        def write(self, rows, target, batch):
+            seen.append((rows.storageLevel.useMemory, rows.rdd.getNumPartitions(), rows.coalesce(1).count()))
+
+    for _ in range(4):
+        arrivals.add(worker())
+    run(start_dataset(arrivals.stream(session), dataset("worker_bronze_relational"), Narrow(), str(tmp_path / "ck"), ONCE))
+    assert [count for *_, count in seen] == [4] and seen[0][0]
+
+
 def test_shared_folders_are_below_the_configured_one(spark):
     folder = shared_folder(spark, "x")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir", "/tmp"))
