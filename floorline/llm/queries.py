@@ -13,7 +13,7 @@ from floorline.llm.html_main import extract_main_text
 from floorline.llm.minhash import near_duplicates
 from floorline.llm.quality import fit_quality, score_quality
 from floorline.llm.quotations import reply_ordered
-from floorline.llm.segmentations import decode_pieces, sample_segmentations
+from floorline.llm.segmentations import sample_segmentations
 from floorline.llm.substring_dedup import substring_dedup
 from floorline.llm.token_files import read_token_files, write_token_files
 from floorline.llm.warc import read_warc, write_warc
@@ -48,7 +48,7 @@ def op4_wavelet_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_sampled_segmentations(spark: SparkSession, folder: str) -> DataFrame:
     """A row per document and sample; ``text_crc32`` is that of the text decoded from the ids."""
-    found = decode_pieces(sample_segmentations(table(spark, folder, "documents")))
+    found = sample_segmentations(table(spark, folder, "documents"), decode=True)
     return found.select("doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
                         "log_prob", "log_inclusion", F.crc32(F.col("decoded").cast("binary")).alias("text_crc32"))
 

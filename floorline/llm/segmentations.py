@@ -20,6 +20,7 @@ import heapq
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -28,7 +29,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floorline.llm.common import mix, slices
+from floorline.llm.common import mix, runs, slices
 
 MODEL = "piece_bpe_32k.model"
 TOP = 3
@@ -36,7 +37,7 @@ TOP = 3
 SHARPNESS = 1.0
 # Lattices of distinct words that a task keeps before it starts anew.
 KEPT_WORDS = 100_000
-TEXT_BYTES = 1 << 19
+TEXT_BYTES, DECODE_ROWS = 1 << 19, 500
 SPACE = "▁"
 
 
@@ -76,6 +77,10 @@ class Vocabulary:
             order = np.argsort(hashes)
             self.beginnings.append((hashes[order], np.array([pieces.get(p, -1) for p in parts])[order]))
 
+    def decoded(self, ids: np.ndarray) -> str:
+        """The text of some ids, without the space that encoding puts first."""
+        return b"".join(map(self.spelled.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
+
     def units(self, text: str) -> list[str]:
         return self.unit.findall(self.model.normalize(text)) if text else []
 
@@ -98,11 +103,11 @@ class Lattices:
         self.begin = np.zeros(0, np.int64)    # a word's first node
         self.place = np.zeros(0, np.int64)    # a node's place in its word
         self.low = np.zeros(1, np.int64)      # a node's first edge, and the end of the last one's
-        self.node = np.zeros(0, np.int32)     # an edge's node
-        self.target = np.zeros(0, np.int32)   # the node after it, -1 at the word's end
+        self.target = np.zeros(0, np.int32)   # the node after an edge, -1 at the word's end
         self.piece = np.zeros(0, np.int32)    # its piece, or beyond the vocabulary a sequence of bytes
-        self.share = np.zeros(0, np.float64)  # its share at its node
-        self.upto = np.zeros(0, np.float64)   # the shares up to it
+        self.share = np.zeros(0, np.float32)  # its share at its node
+        self.upto = np.zeros(0, np.float32)   # the shares up to it
+        self.others = np.zeros(0, np.float32)  # the shares of its node's other edges
 
     def spell(self, code: int) -> int:
         if code not in self.spelt_number:
@@ -170,15 +175,22 @@ class Lattices:
         sums = np.cumsum(share)
         upto = sums - np.repeat(np.r_[0.0, sums[low[1:-1] - 1]], np.diff(low))
         upto[low[1:] - 1] = 2.0  # the last edge takes what rounding leaves
-        nodes, edges = len(self.place), len(self.node)
+        # Summed without the largest one, as 1 - share would lose what is tiny beside it.
+        largest = np.flatnonzero(share == np.repeat(np.maximum.reduceat(share, low[:-1]), np.diff(low)))
+        largest = largest[runs(node[largest])]
+        small = share.copy()
+        small[largest] = 0.0
+        others = 1 - share
+        others[largest] = np.add.reduceat(small, low[:-1])
+        nodes, edges = len(self.place), len(self.target)
         self.begin = np.r_[self.begin, nodes + last - sizes]
         self.place = np.r_[self.place, np.arange(n) - np.repeat(last - sizes, sizes)]
         self.low = np.r_[self.low, edges + low[1:]]
-        self.node = np.r_[self.node, (nodes + node).astype(np.int32)]
         self.target = np.r_[self.target, np.where(target == n, -1, nodes + target).astype(np.int32)]
         self.piece = np.r_[self.piece, piece.astype(np.int32)]
-        self.share = np.r_[self.share, share]
-        self.upto = np.r_[self.upto, upto]
+        self.share = np.r_[self.share, share.astype(np.float32)]
+        self.upto = np.r_[self.upto, upto.astype(np.float32)]
+        self.others = np.r_[self.others, others.astype(np.float32)]
         for word in words:
             self.number[word] = len(self.number)
 
@@ -198,13 +210,28 @@ class Lattices:
         return edge
 
 
+GOLDEN = 0x9E3779B97F4A7C15
+MASK = (1 << 64) - 1
+
+
+@lru_cache(maxsize=1)
+def lattices_of(path: str) -> tuple[Vocabulary, Lattices]:
+    """One of each per worker process; their memory is bounded and later tasks find them warm."""
+    vocabulary = Vocabulary(path)
+    return vocabulary, Lattices(vocabulary)
+
+
 def uniform(keys: np.ndarray, layer: int, counters: np.ndarray) -> np.ndarray:
-    bits = mix(keys ^ mix(counters.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(layer + 1)))
+    """Numbers between 0 and 1 by key, use and place (splitmix64 with the key as its seed)."""
+    bits = mix((keys ^ np.uint64((layer + 1) * 0xD1342543DE82EF95 & MASK)) + counters.astype(np.uint64) * np.uint64(GOLDEN))
     return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
 def uniform_one(key: int, layer: int, counter: int) -> float:
-    return float(uniform(np.array([key], np.uint64), layer, np.array([counter]))[0])
+    x = ((key ^ (layer + 1) * 0xD1342543DE82EF95 & MASK) + counter * GOLDEN) & MASK
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return (((x ^ x >> 31) >> 11) + 0.5) * 2.0 ** -53
 
 
 def exponential(u: float) -> float:
@@ -247,7 +274,7 @@ class Sampler:
         out = np.zeros(starts[-1], np.int64)
         for k, (at, edge) in enumerate(steps):
             out[starts[at] + k] = edge
-        return out, np.log(a.share[out]), starts
+        return out, np.log(a.share[out].astype(np.float64)), starts
 
     def branches(self, edges: np.ndarray, log: np.ndarray, begin: int, before: float, bound: float, key: int, which: int):
         """The best entries that branch off a path from step ``begin`` on: (score, step)."""
@@ -257,9 +284,8 @@ class Sampler:
         near = int(np.searchsorted(-total, 2 * self.MOST_NOISE - before))
         while True:
             some = slice(0, near)
-            rest = 1 - self.a.share[edges[begin:begin + near]]
             with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
-                mass = total[some] + np.log(np.where(rest > 1e-12, rest, 0.0))
+                mass = total[some] + np.log(self.a.others[edges[begin:begin + near]].astype(np.float64))
                 noise = -np.log(uniform(np.full(len(mass), key, np.uint64), 16 * which + 1, np.arange(begin, begin + len(mass))))
                 score = -np.logaddexp(-bound, np.log(noise) - mass)
             best = np.argpartition(score, -want)[-want:] if len(score) > want else np.arange(len(score))
@@ -288,26 +314,28 @@ class Sampler:
             score, which = -score, len(found)
             edges, log, cuts = paths[path]
             word = int(np.searchsorted(cuts, step, side="right")) - 1
-            node = int(a.node[edges[step]])
+            node = int(np.searchsorted(a.low, edges[step], side="right")) - 1
             free = [e for e in range(int(a.low[node]), int(a.low[node + 1])) if e not in taken]
-            pick = uniform_one(key, 16 * which + 3, step) * sum(a.share[e] for e in free)
+            pick = uniform_one(key, 16 * which + 3, step) * sum(float(a.share[e]) for e in free)
             for edge in free:
-                pick -= a.share[edge]
+                pick -= float(a.share[edge])
                 if pick <= 0:
                     break
             tail, after = [edge], int(a.target[edge])
             while after >= 0:
-                u = uniform(np.array([key], np.uint64), 16 * which + 4, np.array([(step << 20) + len(tail)]))
-                tail.append(int(a.choose(np.array([after]), u)[0]))
-                after = int(a.target[tail[-1]])
+                u, edge_on = uniform_one(key, 16 * which + 4, (step << 20) + len(tail)), int(a.low[after])
+                while u > a.upto[edge_on]:
+                    edge_on += 1
+                tail.append(edge_on)
+                after = int(a.target[edge_on])
             fresh, fresh_log, starts = self.layers[which]
             rest = slice(starts[lo + word + 1], starts[hi])
             new = np.concatenate([edges[:step], tail, fresh[rest]])
-            new_log = np.concatenate([log[:step], np.log(a.share[tail]), fresh_log[rest]])
+            new_log = np.concatenate([log[:step], np.log(a.share[tail].astype(np.float64)), fresh_log[rest]])
             new_cuts = np.r_[cuts[:word + 1], step + len(tail) + starts[lo + word + 1:hi + 1] - starts[lo + word + 1]]
             before = float(log[:step].sum())
-            left = sum(a.share[e] for e in free if e != edge)
-            if left > 1e-12:
+            left = sum(float(a.share[e]) for e in free if e != edge)
+            if left > 0:
                 e = exponential(uniform_one(key, 16 * which + 5, step))
                 heapq.heappush(queue, (-below(score, before + math.log(left), e), path, step, (*taken, edge)))
             for s, t in self.branches(new, new_log, step + 1, before + float(new_log[step]), score, key, which):
@@ -326,13 +354,14 @@ def inclusion(x: float) -> float:
 
 
 def sample_segmentations(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", top: int = TOP,
-                         seed: int = 0, model_path: str | None = None) -> DataFrame:
+                         seed: int = 0, model_path: str | None = None, decode: bool = False) -> DataFrame:
     """Per row and sample: id, ``sample`` (from 1), ``ids``, ``log_prob``, ``score`` (perturbed) and ``log_inclusion``.
 
     The ``top`` segmentations of a text are distinct and in falling order of
     score; a text with fewer has as many as there are, with ``log_inclusion`` 0
     as all are included.  A null or empty text has one, of no pieces.  Rows that
-    repeat an id draw the same noise.  Other columns are not read.
+    repeat an id draw the same noise.  Other columns are not read.  With
+    ``decode`` each sample also has ``decoded``, the text of its ids.
     """
     path = model_path or public_tokenizers.path(MODEL)
     plain = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.lit(seed), F.col(id_column)).alias("key"),
@@ -340,8 +369,7 @@ def sample_segmentations(docs: DataFrame, id_column: str = "doc_id", text_column
     kind = docs.schema[id_column].dataType.simpleString()
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
-        lattices = Lattices(vocabulary)
+        vocabulary, lattices = lattices_of(path)
         for batch in batches:
             for a, b in slices(batch["text"], TEXT_BYTES):
                 if len(lattices.number) > KEPT_WORDS:
@@ -360,15 +388,18 @@ def sample_segmentations(docs: DataFrame, id_column: str = "doc_id", text_column
                         scores.append(score)
                         chances.append(chance)
                 ends = np.r_[0, np.cumsum([len(p) for p in pieces])]
-                yield pa.RecordBatch.from_arrays([
+                columns = [
                     batch["id"].take(pa.array(of)), pa.array(number, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(pieces), pa.int32())),
                     pa.array(logs, pa.float64()), pa.array(scores, pa.float64()), pa.array(chances, pa.float64()),
-                ], names=["id", "sample", "ids", "log_prob", "score", "log_inclusion"])
+                ]
+                if decode:
+                    columns.append(pa.array([vocabulary.decoded(p) for p in pieces], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return plain.mapInArrow(
-        sample, f"id {kind}, sample int, ids array<int>, log_prob double, score double, log_inclusion double",
-    ).withColumnRenamed("id", id_column)
+    schema = f"id {kind}, sample int, ids array<int>, log_prob double, score double, log_inclusion double" + ", decoded string" * decode
+    names = ["id", "sample", "ids", "log_prob", "score", "log_inclusion", *["decoded"] * decode]
+    return plain.mapInArrow(sample, schema).withColumnRenamed("id", id_column)
 
 
 def spelled_out(pieces: np.ndarray, lattices: Lattices) -> np.ndarray:
@@ -390,12 +421,12 @@ def decode_pieces(rows: DataFrame, ids_column: str = "ids", into: str = "decoded
     plain = rows.withColumn(into, F.lit(None).cast("string"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = Vocabulary(path).spelled
-        for batch in batches:
-            texts = [None if ids is None else b"".join([spelled[i] for i in ids])[1:].decode("utf-8", "replace")
-                     for ids in map(lambda x: None if x is None else x.tolist(), rows_of(batch[ids_column]))]
-            at = batch.schema.get_field_index(into)
-            yield batch.set_column(at, into, pa.array(texts, pa.string()))
+        vocabulary, _ = lattices_of(path)
+        for whole in batches:
+            for begin in range(0, whole.num_rows, DECODE_ROWS):
+                batch = whole.slice(begin, DECODE_ROWS)
+                texts = [None if ids is None else vocabulary.decoded(ids) for ids in rows_of(batch[ids_column])]
+                yield batch.set_column(batch.schema.get_field_index(into), into, pa.array(texts, pa.string()))
 
     return plain.mapInArrow(decode, plain.schema)
 
