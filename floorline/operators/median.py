@@ -10,6 +10,10 @@ of one task.  ``exact_median`` gives the same result without that:
    the number of cells depends on the spread of the values, not on the rows;
 3. walk only the distinct values inside those cells, in a sort that can spill.
 
+Cells are narrow against the size of a value, not against the spread of a group:
+where a group's values lie within a few hundredths of a percent of each other, a
+cell holds most of them and one task sorts them.
+
 ``approx_median`` needs a single shuffle of fixed-size sketches.
 """
 
