@@ -54,15 +54,15 @@ def benchmark_windows(items: DataFrame, item_column: str, text_column: str, wind
 
 def shingles_of(words: Column, size: int) -> Column:
     """At each word the words from there, ``size`` of them, null beyond the end."""
-    return F.arrays_zip(*(words if k == 0 else F.slice(words, F.lit(k + 1), F.size(words)) for k in range(size)))
+    return F.arrays_zip(*(F.slice(words, F.lit(k + 1), F.size(words)).alias(f"p{k}") for k in range(size)))
 
 
 def places(docs: DataFrame, grams: DataFrame, size: int) -> DataFrame:
     """Where the documents hold one of the ``grams``: ``id``, ``tag``, ``at`` and the gram."""
-    full = F.concat(words_of(F.col("text")), F.array(F.lit(END)))
-    parts = [f"g.{k}" for k in range(size)]
-    each = docs.select("id", F.xxhash64("text").alias("tag"), F.posexplode(shingles_of(full, size)).alias("at", "g"))
-    named = each.select("id", "tag", "at", *(F.col("g").getField(str(k)).alias(f"p{k}") for k in range(size)))
+    # A column of its own: the generator names it several times and would split the text as often.
+    split = docs.select("id", F.xxhash64("text").alias("tag"), F.concat(words_of(F.col("text")), F.array(F.lit(END))).alias("w"))
+    each = split.select("id", "tag", F.posexplode(shingles_of(F.col("w"), size)).alias("at", "g"))
+    named = each.select("id", "tag", "at", "g.*")
     own = F.concat_ws(" ", *(F.col(f"p{k}") for k in range(size)))
     keyed = named.withColumn("key", F.xxhash64(*(F.col(f"p{k}") for k in range(size))))
     return keyed.join(grams, (keyed["key"] == grams["gram_key"]) & (own == grams["gram"])).select("id", "tag", "at", "gram")
