@@ -122,7 +122,7 @@ def test_spine_of_nothing_is_empty(spark):
         (timedelta(seconds=100), "5 seconds"),
         (timedelta(hours=9), "10 minutes"),
         (timedelta(days=5), "3 hours"),
-        (timedelta(days=100), "1 day"),
+        (timedelta(days=99), "1 day"),
         (timedelta(days=36_000), "365 days"),
         (timedelta(days=400_000), "5840 days"),
     ],
