@@ -50,10 +50,10 @@ WORDS = re.compile(r"[a-z]+")
 # Containers that never hold the article, and names that say so.
 APART = set("nav footer aside form menu dialog".split())
 APART_NAMES = set(
-    "ad ads advert adverts advertisement advertising adsense banner billboard breadcrumb breadcrumbs byline captcha colophon "
+    "ad ads advert adverts advertisement advertising adsense alert alerts announcement banner billboard breadcrumb breadcrumbs byline captcha colophon "
     "comment comments commentlist complementary consent contentinfo cookie cookies copyright disclaimer disqus dialog discussion "
     "feedback foot footer form gdpr head header legal login masthead menu message modal nav navbar navigation newsletter notice "
-    "notification overlay pager pagination paywall popup privacy promo promotion rail recommended register related replies reply "
+    "notices notification notifications overlay pager pagination paywall popup privacy promo promotion rail recommended register related replies reply "
     "respond responses search share sharing shoutbox sidebar sidenav signin signup skip skyscraper social sponsor sponsored "
     "subscribe subscription supplemental tags teaser toc toolbar topbar tracking trending warning widget widgets".split())
 MAIN = {"article", "main"}
@@ -64,6 +64,7 @@ BIAS, APART_WEIGHT, MAIN_WEIGHT, MAIN_NAME_WEIGHT = -0.5, -6.0, 4.0, 1.5
 TAG_WEIGHT = {"": 1.4, "p": 1.4, "pre": 0.8, "blockquote": 0.8, "h1": 0.8, "h2": 0.5, "h3": 0.5, "li": -0.3, "td": -0.2, "th": -0.4}
 LENGTH_WEIGHT, LENGTH_FROM, STOP_WEIGHT, LINK_WEIGHT, COPYRIGHT_WEIGHT = 0.7, 40, 0.5, -4.0, -1.5
 BESIDE, ACROSS, TO_PARENT, UPWARD = 0.6, 0.15, 0.4, 0.3
+MOST_TEXT = 0.6
 
 
 @dataclass
@@ -78,6 +79,7 @@ class Node:
     unseen: bool = False
     holds_article: bool = False
     number: int = -1
+    size: int = 0
 
 
 @dataclass
@@ -115,7 +117,7 @@ def blocks_of(page: str) -> list[Block]:
     """The page's visible blocks that hold text, in order."""
     root = Node("", None)
     stack, found, current = [root], [], None
-    at, links, unseen = 0, 0, 0
+    at, links, unseen, main_text_seen = 0, 0, 0, False
 
     def add(text: str) -> None:
         nonlocal current
@@ -129,9 +131,10 @@ def blocks_of(page: str) -> list[Block]:
             current.linked += len(text.strip())
 
     def flush() -> None:
-        nonlocal current
+        nonlocal current, main_text_seen
         if current is not None and current.text:
             found.append(current)
+            main_text_seen |= inherited(current.node, "main") and current.node.name != "h1"
         current = None
 
     def pop(to: int) -> None:
@@ -182,10 +185,10 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID:
             continue
         node = element(name, token["attributes"], stack[-1])
-        if name in MAIN or name == "h1":
+        if not main_text_seen and (name in MAIN or name == "h1" and inherited(stack[-1], "main")):
+            # A container of the page's article, or of its title, is not set apart by its name; comments come after it.
             up = stack[-1]
-            # A container of the page's article is not set apart by its name; comments come after it.
-            while up is not None and not any(b.node is not root and inherited(b.node, "main") for b in found):
+            while up is not None:
                 up.holds_article = True
                 up = up.parent
         if token["attributes"].endswith("/") and name in ("svg", "math", "path"):
@@ -197,9 +200,26 @@ def blocks_of(page: str) -> list[Block]:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.I).search(page, at)
             at = end.start() if end else len(page)
     flush()
+    if not any(inherited(b.node, "main") for b in found):
+        widest(found)
     return found
 
 
+def widest(blocks: list[Block]) -> None:
+    """On a page without a marked article: a container of most of its text is not set apart by its name alone."""
+    for block in blocks:
+        up: Node | None = block.node
+        while up is not None:
+            up.size += len(block.text)
+            up = up.parent
+    total = sum(len(b.text) for b in blocks)
+    for block in blocks:
+        up = block.node
+        while up is not None:
+            up.holds_article |= up.size > MOST_TEXT * total and up.name not in APART | {"header"}
+            up = up.parent
+
+
 def logit(block: Block) -> float:
     """How much the block looks like content."""
     text, node = block.text, block.node

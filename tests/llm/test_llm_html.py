@@ -55,7 +55,18 @@ def test_page_without_landmarks():
                                "Another block of text goes on with the story until its end. Ok.")
 
 
+LONG = "A paragraph of the article, which is long enough to be taken for text. "
+
+
 @pytest.mark.parametrize("page,text", [
+    # A site's name in its header, a title in a part of the article named header, comments that outweigh the article.
+    ("<header><h1>The name of this whole site, quite long</h1></header><article><div class=post-header><h1>Title</h1></div>"
+     f"<p>{LONG}</article><div id=disqus_thread>" + f"<p>{LONG}</p>" * 5 + "</div>", f"Title {LONG.strip()}"),
+    # A wrapper named after its sidebar.
+    (f"<div class='page with-sidebar'><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><div class=sidebar><p>Links and more of them.</p></div></div>",
+     f"Title {LONG}{LONG.strip()}"),
+    (f"<main><div role=alert>Our site will be down tonight for some hours.</div><p>{LONG}</p><section class='post-comments'><p>{LONG}</p></section></main>",
+     LONG.strip()),
     (None, ""), ("", ""), ("just text", "just text"), ("<p>a < b &amp; c", "a < b & c"), ("<article><p>cut in a tag <a href='x", "cut in a tag"),
     ("<article><p>cut in a reference &am", "cut in a reference &am"), ("<article><p>x</p><script>never ended <p>y</p>", "x"),
     ("<nav><a href=1>One</a></nav>", ""), ("<article><p title=it's>quote's</p>", "quote's"), ("</p></div><article><p>a</b></i>b</p>", "ab"),
