@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from floorline.llm import wavelet
-from floorline.llm.common import opened, slices, total_bytes
+from floorline.llm.common import opened, shuffle_partitions, slices, total_bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 # Text in a shard, about; and words whose ids a task remembers before it starts anew.
-SHARD_BYTES, KEPT_WORDS = 8 << 20, 300_000
+SHARD_BYTES, KEPT_WORDS = 8 << 20, 600_000
 SUFFIX = ".wavelet"
 # Letters a-z and those of Latin-1, then marks: two pre-tokens of the tokenizer, whose model takes each as it is.
 PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?|%&#$*\"()]*)")
@@ -152,7 +152,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{SUFFIX}").load(folder).select("path").withColumn(
         "shard", F.regexp_extract("path", r"shard-(\d+)\.", 1).cast("long"))
-    files = files.repartition("shard")
+    files = files.repartition(shuffle_partitions(spark), "shard")  # a number, or the few small rows end in one task
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,4 +201,4 @@ def occurrences(spark: SparkSession, folder: str, token: int) -> DataFrame:
                     pa.array([shard]), pa.array([matrix.count(token)], pa.int64()), pa.array([matrix.find(token)], pa.list_(pa.int64())),
                 ], names=["shard", "n", "places"])
 
-    return files.repartition("shard").mapInArrow(look, "shard long, n long, places array<long>")
+    return files.repartition(shuffle_partitions(spark), "shard").mapInArrow(look, "shard long, n long, places array<long>")

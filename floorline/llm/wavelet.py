@@ -81,9 +81,9 @@ class WaveletMatrix:
     def of(cls, symbols: np.ndarray, bits: int) -> WaveletMatrix:
         planes = []
         for b in range(bits - 1, -1, -1):
-            flags = (symbols >> symbols.dtype.type(b)) & symbols.dtype.type(1) > 0
+            flags = (symbols & symbols.dtype.type(1 << b)).astype(bool)
             planes.append(Plane.of(flags))
-            symbols = np.concatenate([symbols[~flags], symbols[flags]])
+            symbols = np.concatenate([symbols.compress(~flags), symbols.compress(flags)])
         return cls(planes, len(symbols))
 
     def all(self, kind=np.uint32) -> np.ndarray:
