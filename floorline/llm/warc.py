@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floorline.llm.common import opened
+from floorline.llm.common import opened, shuffle_partitions
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
@@ -222,5 +222,6 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES)
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), RECORD.types)], schema=RECORD)
 
-    return splits.repartition("path", "begin").mapInArrow(
+    # A number of partitions, as the few small rows would end in one task otherwise.
+    return splits.repartition(shuffle_partitions(spark), "path", "begin").mapInArrow(
         read, "page long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
