@@ -36,7 +36,7 @@ TOP = 3
 # A piece's weight is (1 + its merge rank) to the power of minus this; a byte is as heavy as the last piece.
 SHARPNESS = 1.0
 # Lattices of distinct words that a task keeps before it starts anew.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 300_000
 TEXT_BYTES, DECODE_ROWS = 1 << 19, 500
 SPACE = "▁"
 
@@ -49,7 +49,7 @@ class Vocabulary:
         self.model, self.size = model, model.get_piece_size()
         self.bytes, self.weight = [0] * 256, np.zeros(self.size)
         self.byte_weight = -SHARPNESS * math.log(1 + self.size)
-        self.spelled: list[bytes] = []
+        parts: list[bytes] = []
         pieces = {}
         for i in range(self.size):
             piece, spelled = model.id_to_piece(i), b""
@@ -61,7 +61,11 @@ class Vocabulary:
                 pieces[piece] = i
                 self.weight[i] = -SHARPNESS * math.log(1 + min(max(0.0, -model.get_score(i)), self.size))
                 spelled = piece.replace(SPACE, " ").encode()
-            self.spelled.append(spelled)
+            parts.append(spelled)
+        # How each id is spelled, one after another.
+        self.spelled_bytes = np.frombuffer(b"".join(parts), np.uint8)
+        self.spelled_size = np.array([len(p) for p in parts])
+        self.spelled_start = np.cumsum(self.spelled_size) - self.spelled_size
         if any((SPACE in p[1:] and p.strip(SPACE)) or "\n" in p for p in pieces):
             raise ValueError("a piece of this model crosses a word's beginning or a line's end")
         # Words with the spaces before them; a line's end stands alone.
@@ -77,9 +81,13 @@ class Vocabulary:
             order = np.argsort(hashes)
             self.beginnings.append((hashes[order], np.array([pieces.get(p, -1) for p in parts])[order]))
 
-    def decoded(self, ids: np.ndarray) -> str:
-        """The text of some ids, without the space that encoding puts first."""
-        return b"".join(map(self.spelled.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
+    def decoded(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of lists of ids, one list after another, without the space that encoding puts first."""
+        size = self.spelled_size[ids]
+        total = np.r_[0, np.cumsum(size)]
+        data = self.spelled_bytes[np.repeat(self.spelled_start[ids] - total[:-1], size) + np.arange(total[-1])].tobytes()
+        cuts = total[np.r_[0, ends]].tolist()
+        return [data[a + 1:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])]
 
     def units(self, text: str) -> list[str]:
         return self.unit.findall(self.model.normalize(text)) if text else []
@@ -98,6 +106,7 @@ class Lattices:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
+        self.room: dict[str, np.ndarray] = {}
         self.spelt: list[list[int]] = []
         self.spelt_number: dict[int, int] = {}
         self.begin = np.zeros(0, np.int64)    # a word's first node
@@ -109,6 +118,16 @@ class Lattices:
         self.upto = np.zeros(0, np.float32)   # the shares up to it
         self.others = np.zeros(0, np.float32)  # the shares of its node's other edges
 
+    def extend(self, name: str, values: np.ndarray) -> None:
+        """Append to an array that has room to grow, so that what is there is copied seldom."""
+        own = getattr(self, name)
+        size = len(own) + len(values)
+        if len(self.room.get(name, ())) < size:
+            self.room[name] = np.empty(size + size // 2, own.dtype)
+            self.room[name][:len(own)] = own
+        self.room[name][len(own):size] = values
+        setattr(self, name, self.room[name][:size])
+
     def spell(self, code: int) -> int:
         if code not in self.spelt_number:
             self.spelt_number[code] = self.vocabulary.size + len(self.spelt)
@@ -143,9 +162,15 @@ class Lattices:
             lengths.append(np.ones(len(alone), np.int64))
             pieces.append(spelt[which])
             weight = np.r_[weight, of_bytes[which]]
-        node, length = np.concatenate(nodes), np.concatenate(lengths)
-        order = np.argsort(node * 64 - length)
-        return node[order], length[order], np.concatenate(pieces)[order], weight[order]
+        # Placed by node and falling length without a sort: longer ones first, each after those its node has already.
+        filled = np.r_[0, np.cumsum(np.bincount(np.concatenate(nodes), minlength=len(codes)))]
+        places = []
+        for at in reversed(nodes):
+            places.append(filled[at])
+            filled[at] += 1
+        order = np.empty(sum(map(len, nodes)), np.int64)
+        order[np.concatenate(places[::-1])] = np.arange(len(order))
+        return np.concatenate(nodes)[order], np.concatenate(lengths)[order], np.concatenate(pieces)[order], weight[order]
 
     def add(self, words: list[str]) -> None:
         sizes = np.array([len(w) for w in words])
@@ -183,14 +208,14 @@ class Lattices:
         others = 1 - share
         others[largest] = np.add.reduceat(small, low[:-1])
         nodes, edges = len(self.place), len(self.target)
-        self.begin = np.r_[self.begin, nodes + last - sizes]
-        self.place = np.r_[self.place, np.arange(n) - np.repeat(last - sizes, sizes)]
-        self.low = np.r_[self.low, edges + low[1:]]
-        self.target = np.r_[self.target, np.where(target == n, -1, nodes + target).astype(np.int32)]
-        self.piece = np.r_[self.piece, piece.astype(np.int32)]
-        self.share = np.r_[self.share, share.astype(np.float32)]
-        self.upto = np.r_[self.upto, upto.astype(np.float32)]
-        self.others = np.r_[self.others, others.astype(np.float32)]
+        self.extend("begin", nodes + last - sizes)
+        self.extend("place", np.arange(n) - np.repeat(last - sizes, sizes))
+        self.extend("low", edges + low[1:])
+        self.extend("target", np.where(target == n, -1, nodes + target))
+        self.extend("piece", piece)
+        self.extend("share", share)
+        self.extend("upto", upto)
+        self.extend("others", others)
         for word in words:
             self.number[word] = len(self.number)
 
@@ -215,10 +240,9 @@ MASK = (1 << 64) - 1
 
 
 @lru_cache(maxsize=1)
-def lattices_of(path: str) -> tuple[Vocabulary, Lattices]:
-    """One of each per worker process; their memory is bounded and later tasks find them warm."""
-    vocabulary = Vocabulary(path)
-    return vocabulary, Lattices(vocabulary)
+def vocabulary_of(path: str) -> Vocabulary:
+    """One per worker process; later tasks find it."""
+    return Vocabulary(path)
 
 
 def uniform(keys: np.ndarray, layer: int, counters: np.ndarray) -> np.ndarray:
@@ -369,7 +393,9 @@ def sample_segmentations(docs: DataFrame, id_column: str = "doc_id", text_column
     kind = docs.schema[id_column].dataType.simpleString()
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, lattices = lattices_of(path)
+        vocabulary = vocabulary_of(path)
+        # Not kept after the task: Spark hands tasks to its idle workers in turn, and each would hold a set.
+        lattices = Lattices(vocabulary)
         for batch in batches:
             for a, b in slices(batch["text"], TEXT_BYTES):
                 if len(lattices.number) > KEPT_WORDS:
@@ -394,7 +420,7 @@ def sample_segmentations(docs: DataFrame, id_column: str = "doc_id", text_column
                     pa.array(logs, pa.float64()), pa.array(scores, pa.float64()), pa.array(chances, pa.float64()),
                 ]
                 if decode:
-                    columns.append(pa.array([vocabulary.decoded(p) for p in pieces], pa.string()))
+                    columns.append(pa.array(vocabulary.decoded(np.concatenate(pieces), ends[1:]), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"id {kind}, sample int, ids array<int>, log_prob double, score double, log_inclusion double" + ", decoded string" * decode
@@ -421,18 +447,14 @@ def decode_pieces(rows: DataFrame, ids_column: str = "ids", into: str = "decoded
     plain = rows.withColumn(into, F.lit(None).cast("string"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, _ = lattices_of(path)
+        vocabulary = vocabulary_of(path)
         for whole in batches:
             for begin in range(0, whole.num_rows, DECODE_ROWS):
                 batch = whole.slice(begin, DECODE_ROWS)
-                texts = [None if ids is None else vocabulary.decoded(ids) for ids in rows_of(batch[ids_column])]
+                lists = batch[ids_column]
+                texts = vocabulary.decoded(np.asarray(lists.flatten()), np.cumsum(np.asarray(lists.value_lengths().fill_null(0))))
+                texts = [text if known else None for text, known in zip(texts, lists.is_valid().to_pylist())]
                 yield batch.set_column(batch.schema.get_field_index(into), into, pa.array(texts, pa.string()))
 
     return plain.mapInArrow(decode, plain.schema)
 
-
-def rows_of(column: pa.ListArray) -> Iterator[np.ndarray | None]:
-    values = np.asarray(column.values)
-    offsets = np.asarray(column.offsets)
-    for a, b, ok in zip(offsets[:-1], offsets[1:], np.asarray(column.is_valid())):
-        yield values[a:b] if ok else None
