@@ -39,6 +39,23 @@ def test_replies_are_ordered_below_what_they_quote(spark):
     assert found[3]["own_text"] == "\nThanks!" and found[3]["formatted"] == "<|user|>\n\nThanks!"
 
 
+def test_deeper_levels_link_where_shallower_ones_do_not(spark):
+    rows = [
+        (1, 0, "user", "What is Spark?"),
+        (1, 1, "assistant", "An engine."),
+        (1, 2, "user", ">> What is Spark?\nStill open."),
+        (1, 3, "user", "> said elsewhere\n>> An engine.\nYes."),
+        (1, 4, "user", "> An engine.\n>> What is Spark?\n>> Still open.\nShallow first."),
+        (1, 5, "user", ">>> What is Spark?\n>>> Still open.\n>>> What is Spark?\nThe heavier one."),
+        (1, 6, "user", ">>>> said nowhere\nNo link."),
+    ]
+    frame = clashing(spark.createDataFrame(rows, SCHEMA))
+    linked = lambda deepest: [r["reply_to"] for r in sorted(reply_ordered(frame, deepest=deepest).collect(), key=lambda r: r["turn"])]
+    assert linked(None) == [None, None, 0, 1, 1, 0, None]
+    assert linked(2) == [None, None, 0, 1, 1, None, None]
+    assert linked(1) == [None, None, None, None, 1, None, None]
+
+
 def test_matches_sql_on_random_threads(spark, tmp_path):
     rng = random.Random(9)
     rows, said = [], {}
