@@ -21,15 +21,16 @@ from floorline.llm.common import stored
 
 SCALE, TOP = 64, 20
 BLOCK_ROWS, GROUP_QUERIES = 1 << 16, 256
-# Components beyond would not leave room for a sum in 64 bits.
-LARGEST = 1 << 24
+# Components are 64-bit integers.
+LARGEST = 1 << 63
 
 
 def quantised(vector: Column) -> Column:
-    """Integer components; null if the vector, or one of them, is null, not finite or beyond ``LARGEST``."""
+    """Integer components; null if the vector, or one of them, is null, not finite or beyond 64 bits."""
     values = F.transform(vector.cast("array<double>"), lambda x: F.floor(x * SCALE))
-    fits = F.forall(vector.cast("array<double>"), lambda x: F.coalesce(F.abs(x * SCALE) < LARGEST, F.lit(False)))
-    return F.when(fits, values.cast("array<int>"))
+    fits = F.forall(vector.cast("array<double>"), lambda x: F.coalesce(
+        (x * SCALE >= F.lit(-float(LARGEST))) & (x * SCALE < F.lit(float(LARGEST))), F.lit(False)))
+    return F.when(fits, values.cast("array<bigint>"))
 
 
 def matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
@@ -52,21 +53,22 @@ class Block:
 
     def __init__(self, ids: np.ndarray, base: np.ndarray, slices: np.ndarray):
         self.ids, self.base, self.slices = ids, base, slices
+        # Bits that a dimension uses; one outlier does not widen the others.
+        self.widths = [int(np.flatnonzero(own.any(axis=1)).max(initial=0)) + 1 for own in slices]
 
     @classmethod
     def of(cls, ids: np.ndarray, values: np.ndarray) -> Block:
         order = np.argsort(ids, kind="stable")
         ids, values = ids[order], values[order]
         base = values.min(axis=0)
-        above = values - base
+        above = values.view(np.uint64) - base.view(np.uint64)  # right for any two 64-bit integers
         bits = max(1, int(above.max(initial=0)).bit_length())
-        return cls(ids, base, np.array([[bitmap((above[:, d] >> b) & 1) for b in range(bits)] for d in range(values.shape[1])]))
+        return cls(ids, base, np.array([[bitmap((above[:, d] >> np.uint64(b)) & np.uint64(1)) for b in range(bits)]
+                                        for d in range(values.shape[1])]))
 
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Slices of every row's score, least significant first, and the constant that is to be added."""
-        dims, bits, _ = self.slices.shape
-        most = (1 << bits) - 1
-        constant = int(query @ self.base)
+        constant = sum(a * b for a, b in zip(query.tolist(), self.base.tolist()))
         levels: list[list[np.ndarray]] = []
 
         def put(level: int, slice_: np.ndarray) -> None:
@@ -76,7 +78,9 @@ class Block:
 
         for d, q in enumerate(query.tolist()):
             # A negative factor counts down from the largest value: q * x = |q| * (most - x) - |q| * most.
-            own = self.slices[d] if q > 0 else ~self.slices[d]
+            bits = self.widths[d]
+            most = (1 << bits) - 1
+            own = self.slices[d][:bits] if q > 0 else ~self.slices[d][:bits]
             constant -= abs(q) * most if q < 0 else 0
             for shift in range(abs(q).bit_length()):
                 if abs(q) >> shift & 1:
@@ -119,10 +123,14 @@ class Block:
         # All that is still open has one score; ids are in order.
         rows = np.r_[rows, positions(open_)[:k - len(rows)]]
         word, bit = rows >> 6, (rows & 63).astype(np.uint64)
-        score = np.full(len(rows), constant, np.int64)
+        # Python integers where sums may leave 64 bits.
+        wide = len(slices) > 62 or abs(constant) >= 1 << 62
+        score = np.full(len(rows), constant, object if wide else np.int64)
         for level, plane in enumerate(slices):
-            score += ((plane[word] >> bit) & np.uint64(1)).astype(np.int64) << level
-        return self.ids[rows], score
+            score += ((plane[word] >> bit) & np.uint64(1)).astype(np.int64).astype(score.dtype) << level
+        if wide and any(not -LARGEST <= x < LARGEST for x in score):
+            raise OverflowError(f"a score of query {own_id} does not fit 64 bits")
+        return self.ids[rows], score.astype(np.int64)
 
 
 def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -146,8 +154,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = TOP, id_column: str = "
     """Each query's ``k`` best rows: ``query_id``, ``rank`` (from 1), id, ``score``; all if there are fewer.
 
     Components are floor(64 x).  Rows whose vector is null, or holds a null, a
-    component that is not finite or beyond 2**24 in size, take no part; nor do
-    rows with a null id or no component.  Only vectors of one length meet.  A
+    component that is not finite or that 64 bits do not hold, take no part; nor do
+    rows with a null id or no component.  A score that 64 bits do not hold stops
+    the query, as it does in SQL.  Only vectors of one length meet.  A
     query does not meet rows with its own id.  Rows that repeat an id and vector
     are one query but remain separate candidates; repeats of an id with another
     vector are further queries.  Equal scores are ranked by the smaller id.

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 from llm_helpers import clashing, rows
 from pyspark.sql import functions as F
 
@@ -43,6 +44,25 @@ def test_ties_repeats_nulls_and_odd_values(spark):
     check(spark, data, 5, block_rows=30)
 
 
+def test_large_components_take_part(spark):
+    data = [(0, [300_000.0, 1.0, -2.0]), (1, [1.0, 2.0, 3.0]), (2, [-1e6, 5.0, 0.5]), (3, [2.0 ** 40, -1.0, 0.0]), (20, [0.25, -4.0, 2.0]),
+            (4, [2.0 ** 20, -(2.0 ** 20), 7.0]), (40, [-(2.0 ** 34), 0.0, 0.0])]
+    found = top_k(spark.createDataFrame(data[:3] + data[4:6], SCHEMA), F.col("vec_id") % 20 == 0, 5, block_rows=2)
+    exact = {i: [math.floor(64 * x) for x in v] for i, v in data}
+    best = lambda q, ids: sorted((-sum(a * b for a, b in zip(exact[q], exact[j])), j) for j in ids if j != q)
+    assert rows(found, "query_id", "rank", "vec_id", "score") == sorted(
+        ((q, r + 1, j, -s) for q in (0, 20) for r, (s, j) in enumerate(best(q, (0, 1, 2, 20, 4)))), key=repr)
+    # Far beyond the square root of 64 bits, as long as the scores fit.
+    block = Block.of(np.array([1, 3, 40]), np.array([exact[i] for i in (1, 3, 40)]))
+    ids, scores = block.top(np.array(exact[20]), 20, 3)
+    assert sorted(zip((-scores).tolist(), ids.tolist())) == best(20, (1, 3, 40))
+    ends = np.array([[-(2 ** 63), 1], [2 ** 63 - 1, 0], [5, -3]])
+    ids, scores = Block.of(np.arange(3), ends).top(np.array([1, 0]), -1, 3)
+    assert dict(zip(ids.tolist(), scores.tolist())) == {0: -(2 ** 63), 1: 2 ** 63 - 1, 2: 5}
+    with pytest.raises(OverflowError):
+        block.top(np.array(exact[3]), 99, 3)
+
+
 def test_empty_and_single(spark):
     assert top_k(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
     assert top_k(spark.createDataFrame([(0, [1.0])], SCHEMA), F.col("vec_id") % 20 == 0).count() == 0
