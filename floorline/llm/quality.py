@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floorline.llm.common import Words, runs, slices
+from floorline.llm.common import Words, mix, runs, slices
 
 PASSAGE_WORDS = 64
-# Labelled documents in the fit at most, those of the smallest hashed ids, and passages of one of them; longer ones are not fitted on.
+# Labelled documents in the fit at most, those of the smallest hashed ids, and passages of one of them, those of the smallest hashed places.
 SAMPLE_ROWS, SAMPLE_PASSAGES = 6000, 64
 HIDDEN, GATE = 32, 16
 EPOCHS, BATCH_DOCS, RATE, DECAY = 60, 64, 3e-3, 1e-4
@@ -162,15 +162,27 @@ def held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def some_passages(count: int, most: int) -> np.ndarray:
+    """Places of at most ``most`` of ``count`` passages, in order; those of the smallest hashes if there are more."""
+    if count <= most:
+        return np.arange(count)
+    return np.sort(np.argsort(mix(np.arange(1, count + 1, dtype=np.uint64)), kind="stable")[:most])
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                label_column: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model | None:
+                label_column: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_passages: int = SAMPLE_PASSAGES) -> Model | None:
     """A model from labelled rows that are not held out; None without any.
 
     Labels other than 0 and 1 are ignored, and so are null ids; a document with
     several labels counts as its lowest.  The sample is the rows whose hashed ids
     are smallest, ``sample_rows`` of them, so its size does not follow the input
-    and sending its ids to every task is bounded too.
+    and sending its ids to every task is bounded too.  A document of more than
+    ``sample_passages`` passages gives so many, spread over its whole text.  If
+    none of the sampled ids has a document but other labelled ones do, that is an
+    error.
     """
+    if sample_rows < 1 or sample_passages < 1:
+        raise ValueError("sample_rows and sample_passages are at least 1")
     known = labels.filter(F.col(id_column).isNotNull() & F.col(label_column).isin(0, 1) & ~held_out(F.col(id_column)))
     sample = known.groupBy(F.col(id_column).cast("long").alias("id")).agg(F.min(label_column).cast("int").alias("label"))
     sample = sample.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
@@ -181,14 +193,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
             for a, b in slices(batch["text"]):
                 features, counts = passage_features(batch["text"][a:b])
                 ends = np.cumsum(counts)
-                short = counts <= SAMPLE_PASSAGES
-                packed = [features[e - c:e].tobytes() for e, c, s in zip(ends, counts, short) if s]
-                part = batch.select(["id", "label"]).slice(a, b - a).filter(pa.array(short))
+                packed = [features[e - c + some_passages(c, sample_passages)].tobytes() for e, c in zip(ends.tolist(), counts.tolist())]
+                part = batch.select(["id", "label"]).slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(packed, pa.binary())], names=["id", "label", "bag"])
 
     rows = plain.join(F.broadcast(sample), "id").select("id", "label", "text").mapInArrow(
-        encode, "id long, label int, bag binary").collect()  # at most sample_rows bags of SAMPLE_PASSAGES rows
+        encode, "id long, label int, bag binary").collect()  # at most sample_rows bags of sample_passages rows
     if not rows:
+        if not plain.join(known.select(F.col(id_column).cast("long").alias("id")), "id", "left_semi").isEmpty():
+            raise ValueError(f"no document has one of the {sample_rows} sampled labels, but others are labelled")
         return None
     rows.sort(key=lambda r: (r["id"], bytes(r["bag"])))
     bags = [np.frombuffer(bytes(r["bag"]), np.float32).reshape(-1, N_FEATURES) for r in rows]

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from conftest import SMALL
 from llm_helpers import clashing, documents, words
 from pyspark.sql import functions as F
 
+from floorline.llm import quality
 from floorline.llm.quality import N_FEATURES, fit, fit_quality, held_out, passage_features, score_quality, score_rows
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -77,3 +79,29 @@ def test_without_labels_or_documents(spark):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     assert fit_quality(documents(spark), labels) is None
     assert score_quality(documents(spark), None).count() == 0
+
+
+def test_long_documents_are_fitted_on(spark, monkeypatch):
+    bags = []
+    monkeypatch.setattr(quality, "fit", lambda found, labels: bags.extend(found) or fit(found, labels))
+    long = lambda k: words(k, 4097 + 64 * k, 5000)
+    rows = [(k, " ".join(long(k))) for k in range(16)] + [(k, " ".join(w.upper() + "!!" for w in long(k))) for k in range(16, 32)]
+    labels = spark.createDataFrame([(k, int(k < 16), 0) for k, _ in rows], LABELS)
+    frame = documents(spark, *rows)
+    model = fit_quality(frame, labels)
+    assert model is not None and {len(b) for b in bags} == {quality.SAMPLE_PASSAGES}
+    assert all(r["predicted"] == int(r["doc_id"] < 16) for r in score_quality(frame, model).collect())
+    # The passages are the document's own, from all over it.
+    own, _ = passage_features(pa.array([rows[0][1]]))
+    assert sum(any((p == q).all() for q in own) for p in bags[0]) == len(bags[0])
+    assert quality.some_passages(1000, 8).max() > 500 and quality.some_passages(3, 8).tolist() == [0, 1, 2]
+    bags.clear()
+    assert fit_quality(frame, labels, sample_passages=5) is not None and {len(b) for b in bags} == {5}
+
+
+def test_labels_that_the_sample_misses_are_an_error(spark):
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(400)], LABELS)
+    ordered = [r["doc_id"] for r in labels.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).collect()]
+    with pytest.raises(ValueError):
+        fit_quality(documents(spark, (ordered[-1], "a b")), labels, sample_rows=3)
+    assert fit_quality(documents(spark, (1000, "a b")), labels, sample_rows=3) is None
