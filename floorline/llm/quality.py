@@ -174,12 +174,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
     """A model from labelled rows that are not held out; None without any.
 
     Labels other than 0 and 1 are ignored, and so are null ids; a document with
-    several labels counts as its lowest.  The sample is the rows whose hashed ids
-    are smallest, ``sample_rows`` of them, so its size does not follow the input
-    and sending its ids to every task is bounded too.  A document of more than
-    ``sample_passages`` passages gives so many, spread over its whole text.  If
-    none of the sampled ids has a document but other labelled ones do, that is an
-    error.
+    several labels counts as its lowest, an id with several texts as that of the
+    smallest hash.  The sample is the documents whose hashed ids are smallest,
+    ``sample_rows`` of them, so its size does not follow the input and sending its
+    ids to every task is bounded too.  A document of more than ``sample_passages``
+    passages gives so many, spread over its whole text.  If none of the sampled
+    ids has a document but other labelled ones do, that is an error.
     """
     if sample_rows < 1 or sample_passages < 1:
         raise ValueError("sample_rows and sample_passages are at least 1")
@@ -197,7 +197,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", t
                 part = batch.select(["id", "label"]).slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(packed, pa.binary())], names=["id", "label", "bag"])
 
-    rows = plain.join(F.broadcast(sample), "id").select("id", "label", "text").mapInArrow(
+    # Of rows that repeat an id one is taken, by its text alone; each task sends at most one of them on.
+    chosen = plain.join(F.broadcast(sample), "id").groupBy("id", "label").agg(
+        F.min(F.struct(F.col("text").isNull().alias("empty"), F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    rows = chosen.select("id", "label", "one.text").mapInArrow(
         encode, "id long, label int, bag binary").collect()  # at most sample_rows bags of sample_passages rows
     if not rows:
         if not plain.join(known.select(F.col(id_column).cast("long").alias("id")), "id", "left_semi").isEmpty():

@@ -105,3 +105,17 @@ def test_labels_that_the_sample_misses_are_an_error(spark):
     with pytest.raises(ValueError):
         fit_quality(documents(spark, (ordered[-1], "a b")), labels, sample_rows=3)
     assert fit_quality(documents(spark, (1000, "a b")), labels, sample_rows=3) is None
+
+
+def test_rows_that_repeat_an_id_are_one_bag(spark, monkeypatch):
+    bags = []
+    monkeypatch.setattr(quality, "fit", lambda found, labels: bags.append(found) or fit(found, labels))
+    rows = [(k, " ".join(words(k, 80, 5000))) for k in (0, 1, 3, 5, 7)]
+    copies = [(1, " ".join(words(100 + k % 20, 80, 5000))) for k in range(200)] + [(1, None)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k, _ in rows], LABELS)
+    kept = [k for k, _ in rows if not spark.range(1).select(held_out(F.lit(k))).first()[0]]
+    assert 1 in kept
+    for order in (rows + copies, copies[::-1] + rows):
+        assert fit_quality(documents(spark, *order).repartition(4), labels, sample_rows=5) is not None
+    assert [len(b) for b in bags] == [len(kept)] * 2
+    assert all((p == q).all() for p, q in zip(*bags))
