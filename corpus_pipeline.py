@@ -63,8 +63,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Distinct sampled segmentations of every document's text."""
-    return sample_segmentations(docs)
+    """Distinct sampled segmentations of every document's text, and the text decoded from each."""
+    return sample_segmentations(docs, decode=True)
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("substrings", substrings), ("decontaminate", decontaminate),

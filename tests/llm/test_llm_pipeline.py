@@ -68,6 +68,12 @@ def test_segmentations_are_those_of_the_texts(steps):
     assert not found
 
 
+def test_segmentations_come_decoded(steps):
+    by_id = dict(texts(steps[4]))
+    found = steps[5].collect()
+    assert found and all(r["decoded"] == (by_id[r["doc_id"]] or "") for r in found)
+
+
 def test_run_is_the_stages(spark, steps):
     key = lambda r: (r["doc_id"], r["sample"], tuple(r["ids"]))
     assert sorted(map(key, corpus_pipeline.run(spark, SMALL).collect())) == sorted(map(key, steps[5].collect()))
