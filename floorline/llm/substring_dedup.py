@@ -7,7 +7,8 @@ the second takes those alone, with a longer and independent hash and the
 smallest document id, and finds the ones that start in an earlier document.
 Covered words merge into maximal intervals.
 
-Documents are dealt into groups by their id's hash.  A group sends each distinct
+Rows are dealt into groups by the hash of id and text, so rows that share an id,
+or have none, spread over groups; ids are compared across them.  A group sends each distinct
 window once, however many of its documents hold it, packed by bucket, and gets
 back one bit per window it sent, so hot passages cost a few bytes per group and
 no join carries a row per occurrence.  Groups and buckets follow from the size of
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,6 +147,10 @@ REMOVED = "n_words long, n_removed long, spans array<struct<start:long,end:long>
 BITS = "grp long, bucket long, bits binary"
 
 
+def group_of(ids: Column, text: Column, groups: int) -> Column:
+    return F.pmod(F.xxhash64(ids.cast("long"), text.cast("string")), F.lit(groups))
+
+
 def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                     window: int = WINDOW, group_bytes: int = GROUP_BYTES, bucket_windows: int = BUCKET_WINDOWS,
                     keep_columns: bool = False) -> DataFrame:
@@ -164,7 +169,7 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str
     groups = max(1, -(-size // group_bytes))
     buckets = max(1, -(-size // (BYTES_PER_WORD * bucket_windows)))
     dealt = docs.select(
-        F.pmod(F.xxhash64(F.col(id_column).cast("long")), F.lit(groups)).alias("grp"),
+        group_of(F.col(id_column), F.col(text_column), groups).alias("grp"),
         F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"),
         *([F.struct(*(docs[c] for c in docs.columns if c != text_column)).alias("row")] if keep_columns else []),
     ).repartition(max(groups, shuffle_partitions(docs.sparkSession)), "grp")

@@ -106,14 +106,16 @@ def write_token_files(docs: DataFrame, folder: str, id_column: str = "doc_id", t
     """Write shards of ids below ``folder`` in ascending order of the documents' ids; returns shard, path, documents, ids.
 
     A null or empty text is the end id alone.  Rows with a null id come first.
-    Rows that repeat an id lie together, in any order.  A file is written under
+    Rows that repeat an id lie together, in the order of their texts' hashes, in
+    as many shards as they fill.  A file is written under
     another name and then moved, so a task that runs again replaces its own.  An
     empty table writes no file.
     """
     path = tokenizer_path or public_tokenizers.path(VOCABULARY)
     plain = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     shards = max(1, -(-total_bytes(plain, "text") // shard_bytes))
-    dealt = plain.repartitionByRange(shards, "id").sortWithinPartitions("id")
+    spread = plain.withColumn("hash", F.xxhash64("text"))
+    dealt = spread.repartitionByRange(shards, "id", "hash").sortWithinPartitions("id", "hash").select("id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)

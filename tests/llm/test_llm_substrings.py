@@ -4,8 +4,9 @@ import random
 import re
 
 from llm_helpers import clashing, documents, rows, words
+from pyspark.sql import functions as F
 
-from floorline.llm.substring_dedup import substring_dedup
+from floorline.llm.substring_dedup import group_of, substring_dedup
 
 
 def words_of(text):
@@ -63,3 +64,13 @@ def test_nulls_empties_repeats_long_texts_and_clashes(spark):
         [(i, "x", "x") for i, _ in texts], key=repr)
     assert {r["row"]["doc_id"]: r["kept"] for r in whole.collect()}[5] == " \t\n"
     assert substring_dedup(documents(spark)).count() == 0
+
+
+def test_rows_of_one_id_or_none_spread_over_groups(spark):
+    shared = words(3, 12, 10 ** 6)
+    texts = [(i, " ".join(words(k, 20, 10 ** 6) + shared + words(500 + k, 5, 10 ** 6))) for k, i in enumerate([None] * 60 + [7] * 60 + [9, 8, 3])]
+    frame = documents(spark, *texts)
+    most = frame.groupBy(F.col("doc_id"), group_of(F.col("doc_id"), F.col("text"), 10).alias("g")).count().agg(F.max("count")).first()[0]
+    assert most < 30
+    found = substring_dedup(frame, window=8, group_bytes=2000, bucket_windows=100)
+    assert rows(found, "doc_id", "n_words", "n_removed", "kept") == brute(texts, 8)

@@ -37,6 +37,18 @@ def test_files_give_back_the_tokenizers_ids(spark):
     assert places == np.flatnonzero(every == token).tolist() and sum(r["n"] for r in looked) == len(places)
 
 
+def test_rows_of_one_id_or_none_fill_several_shards(spark):
+    texts = [(i, " ".join(words(k, 100, 5000))) for k, i in enumerate([None] * 60 + [7] * 60 + [3, 9])]
+    folder = shared_folder(spark, "tokens-test")
+    manifest = write_token_files(documents(spark, *texts).repartition(4), folder, shard_bytes=6000).collect()
+    assert len(manifest) > 4 and max(r["documents"] for r in manifest) < 40
+    found = sorted(read_token_files(spark, folder).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in found] == [None] * 60 + [3] + [7] * 60 + [9]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    wanted = sorted((str(i), tokenizer.encode(t, add_special_tokens=False).ids + [1]) for i, t in texts)
+    assert sorted((str(r["doc_id"]), np.frombuffer(r["ids"], "<u4").tolist()) for r in found) == wanted
+
+
 def test_empty_table(spark):
     folder = shared_folder(spark, "tokens-test")
     assert write_token_files(documents(spark), folder).count() == 0
