@@ -159,6 +159,58 @@ FROM m JOIN own USING (r) LEFT JOIN path p ON m.conv_id IS NOT DISTINCT FROM p.c
 """
 
 
+def merkle_sql(group_levels: int = 6, top_levels: int = 4) -> str:
+    """Both trees level by level; 16 to the power of the levels is more than any of these tables holds."""
+    parts = [r"""
+t AS MATERIALIZED (
+  SELECT *, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1),
+    lambda i: [ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))) AS flipped FROM documents
+),
+f AS MATERIALIZED (
+  SELECT doc_id, source, xor(flipped, 4294967295) % 5 = 0 AS tamper, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM t
+),
+l AS MATERIALIZED (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN tamper THEN sha256(head || coalesce(strlen(text) || ':' ||
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS tampered FROM f
+),
+a0 AS MATERIALIZED (
+  SELECT *, leaf AS d, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM l
+)"""]
+
+    def tree(name: str, key: str, levels: int) -> None:
+        for k in range(levels):
+            beside = "string_agg(d, '') OVER (PARTITION BY {key}, i // 16 ORDER BY i {order} ROWS BETWEEN {a} AND {b})"
+            left = beside.format(key=key, order="", a="UNBOUNDED PRECEDING", b="1 PRECEDING")
+            right = beside.format(key=key, order="", a="1 FOLLOWING", b="UNBOUNDED FOLLOWING")
+            parts.append(f"{name}s{k} AS MATERIALIZED (SELECT {key}, i, coalesce({left}, '') AS l, coalesce({right}, '') AS r FROM {name}{k})")
+            parts.append(f"{name}{k + 1} AS MATERIALIZED (SELECT {key}, i // 16 AS i, any_value(n) AS n, CASE WHEN any_value(n) > {16 ** k} "
+                         f"THEN sha256(string_agg(d, '' ORDER BY i)) ELSE any_value(d) END AS d FROM {name}{k} GROUP BY {key}, i // 16)")
+
+    tree("a", "source", group_levels)
+    parts.append(f"b0 AS MATERIALIZED (SELECT 0 AS g, source, d, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n "
+                 f"FROM a{group_levels})")
+    tree("b", "g", top_levels)
+    step = "SELECT x.* REPLACE (CASE WHEN {n} > {size} THEN sha256(s.l || x.f || s.r) ELSE x.f END AS f, " \
+           "CASE WHEN {n} > {size} THEN x.p || s.l || s.r ELSE x.p END AS p) FROM {last} x JOIN {sides} s ON {on}"
+    parts.append("w0 AS (SELECT *, coalesce(tampered, leaf) AS f, '' AS p FROM a0)")
+    for k in range(group_levels):
+        on = f"x.source IS NOT DISTINCT FROM s.source AND x.i // {16 ** k} = s.i"
+        parts.append(f"w{k + 1} AS (" + step.format(n="x.n", size=16 ** k, last=f"w{k}", sides=f"as{k}", on=on) + ")")
+    parts.append(f"z0 AS (SELECT w.*, b0.d AS subroot, b0.i AS j, b0.n AS m FROM w{group_levels} w JOIN b0 ON w.source IS NOT DISTINCT FROM b0.source)")
+    for k in range(top_levels):
+        parts.append(f"z{k + 1} AS (" + step.format(n="x.m", size=16 ** k, last=f"z{k}", sides=f"bs{k}", on=f"x.j // {16 ** k} = s.i") + ")")
+    return "WITH " + ",\n".join(parts) + (
+        f"\nSELECT doc_id, leaf, subroot, r.d AS root, sha256(p) AS proof_sha256, f AS folded_root, f = r.d AS verified FROM z{top_levels}, b{top_levels} r")
+
+
+OP12 = merkle_sql()
+
+
 def oracle() -> dict[str, str]:
     return {"op1_minhash_near_dedup": OP1, "op2_html_main_text": OP2, "op6_decontamination": OP6, "op7_warc": OP7,
-            "op8_substring_dedup": OP8, "op9_bit_sliced_top_k": OP9, "op10_quotation_linking": OP10}
+            "op8_substring_dedup": OP8, "op9_bit_sliced_top_k": OP9, "op10_quotation_linking": OP10,
+            "op12_merkle_manifest": OP12}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from floorline.llm.bit_sliced import top_k
 from floorline.llm.decontamination import benchmark_hits
 from floorline.llm.html_main import extract_main_text
+from floorline.llm.merkle import FIELDS, folded, leaf_digest, merkle_manifest, proof_digest
 from floorline.llm.minhash import near_duplicates
 from floorline.llm.quality import fit_quality, score_quality
 from floorline.llm.quotations import reply_ordered
@@ -80,7 +81,18 @@ def op10_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     return reply_ordered(table(spark, folder, "conversations"))
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Where 5 divides the id's checksum, the root is folded from a leaf whose text has lost its upper case."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = leaf_digest(*(lower if name == "text" else F.col(name) for name in FIELDS))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, changed)
+    found = merkle_manifest(table(spark, folder, "documents"), keep={"tampered": tampered})
+    return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+                        folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash_near_dedup, op2_html_main_text, op3_quality_attention,
                                     op4_wavelet_token_files, op5_sampled_segmentations, op6_decontamination, op7_warc, op8_substring_dedup,
-                                    op9_bit_sliced_top_k, op10_quotation_linking)}
+                                    op9_bit_sliced_top_k, op10_quotation_linking, op12_merkle_manifest)}
