@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from floorline.llm.common import stored
+from floorline.llm.common import ranked, stored
 
 FAN = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -45,26 +45,6 @@ def proof_digest(path: Column) -> Column:
     return digest_of(F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), ""))
 
 
-def ranked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``rows`` with ``rank`` (from 0) within ``grp`` by ``order``, nulls first, and ``n``, the rows of the group.
-
-    Rows equal in all of ``order`` come in any order; they too are spread over ranges.
-    """
-    keys = ["grp", *order, "tie"]
-    sorted_rows = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    # Written, so that a range and a row's place in it are the same for all that follows.
-    placed = stored(sorted_rows.drop("tie").withColumns(
-        {"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "merkle-ranks")
-    # A range holds whole groups but for its ends, so these are about as many rows as there are ranges and groups.
-    counts = placed.groupBy("grp", "part").agg(F.count("*").alias("rows"), F.min("place").alias("first"))
-    whole, before = Window.partitionBy("grp"), Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        F.col("grp").alias("of"), F.col("part").alias("within"), F.sum("rows").over(whole).alias("n"),
-        (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("move"))
-    same = (F.col("part") == F.col("within")) & F.col("grp").eqNullSafe(F.col("of"))
-    return placed.join(starts, same).select(*rows.columns, (F.col("place") + F.col("move")).alias("rank"), "n")
-
-
 def rolled(nodes: DataFrame, fan: int) -> DataFrame:
     """Blocks of ``fan * fan`` nodes (``grp``, ``rank``, ``n``, ``digest``, ``own``), nested, with the digest of each block.
 

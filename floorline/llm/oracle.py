@@ -159,6 +159,36 @@ FROM m JOIN own USING (r) LEFT JOIN path p ON m.conv_id IS NOT DISTINCT FROM p.c
 """
 
 
+OP11 = r"""
+WITH p AS MATERIALIZED (
+  SELECT doc_id, lang, j, regexp_extract_all(pieces[j], '[^\x20\x09]+') AS w FROM (
+    SELECT doc_id, lang, pieces, unnest(range(1, len(pieces) + 1)) AS j FROM (
+      SELECT doc_id, coalesce(lang, 'und') AS lang, regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents))
+),
+f AS MATERIALIZED (
+  SELECT lang, n, array_to_string(w[i:i + n - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM p, (SELECT unnest(range(1, 5)) AS n) WHERE len(w) >= n) GROUP BY 1, 2, 3
+),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE n = 1 GROUP BY 1),
+c AS MATERIALIZED (SELECT lang, n, phrase, f, string_split(phrase, ' ') AS w FROM f WHERE n >= 2 AND f >= 30),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, n)) AS k FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.n = k AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.n = c.n - k AND y.phrase = array_to_string(w[k + 1:], ' ')
+),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, n - m + 2)) AS i FROM (SELECT *, unnest(range(2, n)) AS m FROM c WHERE n > 2)) GROUP BY 1, 2
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, total.n, score::BIGINT AS score
+FROM best LEFT JOIN inner_ USING (lang, phrase) JOIN total USING (lang)
+WHERE longer IS NULL OR 100 * longer < 80 * a QUALIFY rank <= 2000
+"""
+
+
 def merkle_sql(group_levels: int = 6, top_levels: int = 4) -> str:
     """Both trees level by level; 16 to the power of the levels is more than any of these tables holds."""
     parts = [r"""
@@ -213,4 +243,4 @@ OP12 = merkle_sql()
 def oracle() -> dict[str, str]:
     return {"op1_minhash_near_dedup": OP1, "op2_html_main_text": OP2, "op6_decontamination": OP6, "op7_warc": OP7,
             "op8_substring_dedup": OP8, "op9_bit_sliced_top_k": OP9, "op10_quotation_linking": OP10,
-            "op12_merkle_manifest": OP12}
+            "op11_collocations": OP11, "op12_merkle_manifest": OP12}

@@ -12,6 +12,7 @@ from floorline.llm.decontamination import benchmark_hits
 from floorline.llm.html_main import extract_main_text
 from floorline.llm.merkle import FIELDS, folded, leaf_digest, merkle_manifest, proof_digest
 from floorline.llm.minhash import near_duplicates
+from floorline.llm.phrases import collocations
 from floorline.llm.quality import fit_quality, score_quality
 from floorline.llm.quotations import reply_ordered
 from floorline.llm.segmentations import sample_segmentations
@@ -81,6 +82,10 @@ def op10_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     return reply_ordered(table(spark, folder, "conversations"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Where 5 divides the id's checksum, the root is folded from a leaf whose text has lost its upper case."""
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -95,4 +100,4 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash_near_dedup, op2_html_main_text, op3_quality_attention,
                                     op4_wavelet_token_files, op5_sampled_segmentations, op6_decontamination, op7_warc, op8_substring_dedup,
-                                    op9_bit_sliced_top_k, op10_quotation_linking, op12_merkle_manifest)}
+                                    op9_bit_sliced_top_k, op10_quotation_linking, op11_collocations, op12_merkle_manifest)}
