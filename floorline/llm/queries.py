@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from floorline.llm.bit_sliced import top_k
 from floorline.llm.decontamination import benchmark_hits
 from floorline.llm.html_main import extract_main_text
+from floorline.llm.language import fit_language, predict_language
 from floorline.llm.merkle import FIELDS, folded, leaf_digest, merkle_manifest, proof_digest
 from floorline.llm.minhash import near_duplicates
 from floorline.llm.phrases import collocations
@@ -97,7 +98,12 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
         "verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_byte_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return predict_language(docs, fit_language(docs))
+
+
 def registered() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_minhash_near_dedup, op2_html_main_text, op3_quality_attention,
                                     op4_wavelet_token_files, op5_sampled_segmentations, op6_decontamination, op7_warc, op8_substring_dedup,
-                                    op9_bit_sliced_top_k, op10_quotation_linking, op11_collocations, op12_merkle_manifest)}
+                                    op9_bit_sliced_top_k, op10_quotation_linking, op11_collocations, op12_merkle_manifest, op13_byte_language)}
