@@ -1,0 +1,129 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_helpers import SCHEMA, clashing, documents, words
+
+from floorline.llm import phrases
+from floorline.llm.phrases import Runs, collocations, parted
+
+
+def brute(rows, least, longest=4, first=2000, cover=80):
+    counts, totals = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lowered):
+            own = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(own)
+            for n in range(1, longest + 1):
+                for i in range(len(own) - n + 1):
+                    counts.setdefault(lang, Counter())[tuple(own[i:i + n])] += 1
+    out = []
+    for lang, f in counts.items():
+        some = [p for p, a in f.items() if len(p) > 1 and a >= least]
+        kept = []
+        for p in some:
+            cuts = [(2_000_000 * f[p] // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p))]
+            score, _, left, right = min(cuts)
+            if not any(len(q) > len(p) and 100 * f[q] >= cover * f[p] and any(q[i:i + len(p)] == p for i in range(len(q))) for q in some):
+                kept.append((-score, -f[p], " ".join(p).encode(), left, right))
+        out += [(lang, k + 1, p.decode(), -a, left, right, totals[lang], -s) for k, (s, a, p, left, right) in enumerate(sorted(kept)[:first])]
+    return sorted(out)
+
+
+def found(frame, **options):
+    rows = collocations(frame, **options).collect()
+    return sorted(tuple(r[c] for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")) for r in rows)
+
+
+def corpus(seed, n, vocabulary=12):
+    own = words(seed, n, vocabulary)
+    return "".join(w + (". " if k % 11 == 7 else ",\n" if k % 17 == 3 else "\t " if k % 5 == 0 else " ") for k, w in enumerate(own))
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(k, t, lang, "s", None) for k, (lang, t) in enumerate(rows)], SCHEMA)
+
+
+@pytest.mark.parametrize("options", [{}, {"longest": 2}, {"longest": 3, "first": 5}, {"cover": 30}])
+def test_matches_brute_force(spark, options):
+    rows = [(("en", "fr", None)[k % 3], corpus(k, 150 + k).replace("w3", "W3é")) for k in range(30)]
+    assert found(table(spark, rows), least=8, filter_bits=12, **options) == brute(rows, 8, **options)
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    rows = [("en", None), ("en", ""), ("en", " \t .,;"), ("", "a b " * 20), (None, "a b. A B? a\x0bb"), ("en", "x " * 50), ("en", "x " * 50), ("fr", "é" * 3000)]
+    frame = clashing(table(spark, rows))
+    assert found(frame, least=2) == brute(rows, 2)
+    assert found(documents(spark)) == [] and found(documents(spark, (1, None), (2, "once"))) == []
+    with pytest.raises(ValueError):
+        collocations(frame, longest=5)
+
+
+@pytest.mark.parametrize("weak", ["word", "fingerprint"])
+def test_collisions_do_not_merge(spark, monkeypatch, weak):
+    """With hashes of a few bits nearly all runs collide; the counts by text stay right."""
+    if weak == "word":
+        before = Runs.__init__
+
+        def poor(self, *args):
+            before(self, *args)
+            self.word = self.word & np.uint64(3)
+            up, self.down = phrases.WORD_POWERS.to(len(self.word))
+            self.sums = np.r_[np.zeros(1, np.uint64), np.cumsum(self.word * up, dtype=np.uint64)]
+
+        monkeypatch.setattr(Runs, "__init__", poor)
+    else:
+        full = Runs.fingerprints
+        monkeypatch.setattr(Runs, "fingerprints", lambda self, at, n: full(self, at, n) & np.uint64(0xE000000000000001))
+    rows = [(("en", "fr")[k % 2], corpus(k, 300)) for k in range(8)]
+    texts = [t.encode() for _, t in rows]
+    runs = Runs(texts, [len(t) for t in texts], [lang for lang, _ in rows])
+    number, whole = runs.exact_words(), runs.data.tobytes()
+    own = [whole[a:b] for a, b in zip(runs.start.tolist(), runs.end.tolist())]
+    assert all(len({w for w, m in zip(own, number) if m == n}) == 1 for n in set(number.tolist()))
+    # The kernels run in workers, which do not see the patch, so the last pass is run here.
+    texts_of = lambda batches: None
+    seen = []
+    monkeypatch.setattr(phrases, "over_parts", lambda texts, kernel, schema: seen.append(kernel) or texts_of)
+    monkeypatch.setattr(phrases, "marked", lambda path, bits, prints: np.ones(len(prints), bool))
+    with pytest.raises(AttributeError):
+        phrases.exact_counts(None, "", 12, 4)
+    counts = Counter()
+    for batch in seen[0](runs, [(k, 0, lang) for k, (lang, _) in enumerate(rows)]):
+        for r in batch.to_pylist():
+            counts[r["lang"], r["phrase"].decode(), r["words"]] += r["found"]
+            if r["words"]:
+                assert texts[r["doc_id"]][r["at"]:].split()[0].strip(b".,").lower() == r["phrase"].split(b" ")[0]
+    expected = Counter()
+    for lang, text in rows:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", text):
+            ws = re.findall(r"[^\x20\x09]+", piece)
+            expected[lang, "", 0] += len(ws)
+            for n in range(1, 5):
+                for i in range(len(ws) - n + 1):
+                    expected[lang, " ".join(ws[i:i + n]), n] += 1
+    assert counts == expected
+
+
+@pytest.mark.parametrize("limit", [1, 7, 40, 1000])
+def test_parts_of_a_long_text_own_every_run_once(limit):
+    text = corpus(3, 200).encode() + b"x" * 90 + b" end"
+    whole, own = Counter(), Counter()
+    for into, parts in ((whole, [(0, text, len(text))]), (own, list(parted(text, limit)))):
+        for _, part, mine in parts:
+            runs = Runs([part], [mine], ["en"])
+            for n in range(1, 5):
+                into.update(runs.fingerprints(runs.places(n), n).tolist() if len(runs.start) else [])
+    assert whole == own
+
+
+def test_a_very_long_text(spark, monkeypatch):
+    text = corpus(5, 700_000, 40)
+    assert len(text) > 2 * phrases.PART_BYTES / 2 and len(list(parted(text.encode()))) > 1
+    rows = [("en", text), ("en", "w1 w2")]
+    assert found(table(spark, rows), least=300, first=50) == brute(rows, 300, first=50)

@@ -16,7 +16,7 @@ from floorline.llm.queries import registered
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registered())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert registered().keys() <= contract.queries().keys()
     assert "pipeline" in contract.queries()
 
@@ -41,6 +41,19 @@ def test_quality_on_held_out_rows(spark):
     assert all(r["held_out"] == (binascii.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in found.collect())
 
 
+def test_language_on_held_out_rows(spark):
+    """Accuracy on documents that the fit has not seen, on more rows than the other tests."""
+    folder = "/root/testdata/sf0.01"
+    found = registered()["op13_byte_language"](spark, folder)
+    assert found.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
+    rows = found.collect()
+    assert len(rows) == len(docs) and all(0 <= r["score"] <= 1 for r in rows)
+    assert all(r["held_out"] == (binascii.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    unseen = [r for r in rows if r["held_out"]]
+    assert len(unseen) > 150 and sum(r["lang_pred"] == docs[r["doc_id"]] for r in unseen) / len(unseen) > 0.97
+
+
 def test_token_files_match_the_tokenizer(spark):
     found = {r["doc_id"]: r for r in registered()["op4_wavelet_token_files"](spark, SMALL).collect()}
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
