@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
+from pyarrow import dataset
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ UNKNOWN = "und"
 # Bits of the bitmap as a power of two: 16 MB.
 FILTER_BITS = 27
 # Bytes of text that a task counts at once; what is frequent in them is combined before it is sent.
-PART_BYTES = 1 << 21
+PART_BYTES = 1 << 20
 
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 GAP = re.compile(rb"[.,;:!?\x0a-\x0d\x20\x09]")
@@ -125,13 +125,13 @@ class Runs:
         return np.where(IS_GAP[self.data], np.uint8(32), self.data)[inside].tobytes(), ends - size, ends - 1
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def bitmap(path: str, bits: int) -> np.ndarray:
-    """The bitmap that is stored as 64-bit words; kept by the worker process for its next tasks."""
+    """The bitmap that is stored as 64-bit words, read piece by piece; kept by the worker process for its next tasks."""
     system, name = opened(path)
-    found = pq.read_table(name, filesystem=system)
     out = np.zeros(1 << (bits - 6), np.uint64)
-    out[np.asarray(found["word"])] = np.asarray(found["bits"]).view(np.uint64)
+    for batch in dataset.dataset(name, filesystem=system, format="parquet").to_batches(batch_readahead=1, fragment_readahead=1, use_threads=False):
+        out[np.asarray(batch["word"])] = np.asarray(batch["bits"]).view(np.uint64)
     return out
 
 
@@ -144,7 +144,7 @@ def stored_bitmap(frequent: DataFrame, bits: int) -> str:
     """A file of at most ``2 ** (bits - 6)`` rows that marks the fingerprints' leading bits."""
     path = shared_folder(frequent.sparkSession, "phrase-bits")
     bit = F.shiftrightunsigned("fingerprint", 64 - bits)
-    words = frequent.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+    words = frequent.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).cast("int").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits"))
     words.repartition(4, "word").write.parquet(path)
     return path
@@ -264,7 +264,7 @@ def collocations(docs: DataFrame, lang_column: str = "lang", text_column: str =
     nothing, a null language is ``und``, rows that repeat an id or a text each
     count, and a null id gives a null pointer.  Equal scores and counts are
     ordered by the phrase's bytes.  An empty table gives no row.  Other columns are
-    not read.  Texts are read in parts of about 2 MB; a single word longer than
+    not read.  Texts are read in parts of about 1 MB; a single word longer than
     that is held whole.
     """
     if not 2 <= longest <= LONGEST or least < 1:
