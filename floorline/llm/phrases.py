@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from floorline.llm.common import BYTE_POWERS, BYTE_VALUES, LOWER, Powers, mix, opened, ranked, slices, stored
+from floorline.llm.common import runs as runs_of
 from floorline.streaming.workspace import shared_folder
 
 LEAST, LONGEST, FIRST, COVER = 30, 4, 2000, 80
@@ -38,6 +39,8 @@ UNKNOWN = "und"
 FILTER_BITS = 27
 # Bytes of text that a task counts at once; what is frequent in them is combined before it is sent.
 PART_BYTES = 1 << 20
+# Fingerprints of a task that are combined at once.
+COMBINED = 1 << 20
 
 PIECE_ENDS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 GAP = re.compile(rb"[.,;:!?\x0a-\x0d\x20\x09]")
@@ -150,8 +153,12 @@ def stored_bitmap(frequent: DataFrame, bits: int) -> str:
     return path
 
 
-def over_parts(texts: DataFrame, kernel: Callable[[Runs, list[tuple]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``kernel`` over parts of about ``PART_BYTES``; it gets their runs and (id, offset, language) of each part."""
+def over_parts(texts: DataFrame, kernel: Callable[[Runs, list[tuple]], Iterator[pa.RecordBatch]], schema: str,
+               combine: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter) -> DataFrame:
+    """``kernel`` over parts of about ``PART_BYTES``; it gets their runs and (id, offset, language) of each part.
+
+    ``combine`` gets all batches that a task makes, one after another.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +172,29 @@ def over_parts(texts: DataFrame, kernel: Callable[[Runs, list[tuple]], Iterator[
                     if len(runs.start):
                         yield from kernel(runs, [(i, p[0], lang) for i, lang, p in group])
 
-    return texts.mapInArrow(work, schema)
+    return texts.mapInArrow(lambda batches: combine(work(batches)), schema)
+
+
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the same fingerprint added up, over as many batches as hold ``COMBINED`` of them."""
+    waiting, size = [], 0
+
+    def flush() -> pa.RecordBatch:
+        prints, found = (np.concatenate([np.asarray(b[name]) for b in waiting]) for name in ("fingerprint", "found"))
+        order = np.argsort(prints)
+        prints, found = prints[order], found[order]
+        begins = runs_of(prints)
+        return pa.RecordBatch.from_arrays([pa.array(prints[begins]), pa.array(np.add.reduceat(found, begins))], names=["fingerprint", "found"])
+
+    for batch in batches:
+        if batch.num_rows:
+            waiting.append(batch)
+            size += batch.num_rows
+        if size >= COMBINED:
+            yield flush()
+            waiting, size = [], 0
+    if waiting:
+        yield flush()
 
 
 def fingerprint_counts(texts: DataFrame, lengths: tuple[int, ...], pairs: str | None, bits: int) -> DataFrame:
@@ -186,7 +215,8 @@ def fingerprint_counts(texts: DataFrame, lengths: tuple[int, ...], pairs: str |
             found, times = np.unique(runs.fingerprints(at, n), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times, pa.int64())], names=["fingerprint", "found"])
 
-    return over_parts(texts, count, FINGERPRINT).groupBy("fingerprint").agg(F.sum("found").alias("found"))
+    # Tasks have combined what they send, so a frequent run is a row per million of a task's; Spark need not hold a task's runs once more.
+    return over_parts(texts, count, FINGERPRINT, merged).repartition("fingerprint").groupBy("fingerprint").agg(F.sum("found").alias("found"))
 
 
 def exact_counts(texts: DataFrame, path: str, bits: int, longest: int) -> DataFrame:

@@ -89,7 +89,7 @@ def test_collisions_do_not_merge(spark, monkeypatch, weak):
     # The kernels run in workers, which do not see the patch, so the last pass is run here.
     texts_of = lambda batches: None
     seen = []
-    monkeypatch.setattr(phrases, "over_parts", lambda texts, kernel, schema: seen.append(kernel) or texts_of)
+    monkeypatch.setattr(phrases, "over_parts", lambda texts, kernel, schema, combine=iter: seen.append(kernel) or texts_of)
     monkeypatch.setattr(phrases, "marked", lambda path, bits, prints: np.ones(len(prints), bool))
     with pytest.raises(AttributeError):
         phrases.exact_counts(None, "", 12, 4)
