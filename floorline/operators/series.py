@@ -95,4 +95,6 @@ def median_series(
     if not fill_empty:
         return medians
     # Bounds taken from the medians, whose shuffles are reused, not from the rows.
-    return bucket_spine(medians, "bucket", interval).join(medians, "bucket", "left")
+    # Null-safe, as a filter for nulls below the medians would keep their shuffles from being reused.
+    found = medians.withColumnRenamed("bucket", "filled")
+    return bucket_spine(medians, "bucket", interval).join(found, F.col("bucket").eqNullSafe(F.col("filled")), "left").drop("filled")

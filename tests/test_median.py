@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from floorline.operators.median import approx_median, exact_median
+from floorline.operators.median import approx_median, exact_median, rank_segments, value_counts
 from floorline.operators.series import SPINE_BLOCK, auto_interval, bucket_spine, median_series
 
 START = datetime(2024, 1, 1)
@@ -75,6 +75,41 @@ def test_counting_runs_once(spark):
     assert plan.count("Range (") == 1
 
 
+def executed(rows):
+    rows.collect()
+    return rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_values_close_together_are_shared_out(spark):
+    """A million values within 0.01 % of each other, all in one group: no task walks more than its share."""
+    n = 1_000_001
+    df = spark.range(n).select(F.lit("k").alias("k"), (70 + F.col("id") * 7e-9).alias("v"))
+    counted = value_counts(df, ["k"], "v")
+    segments = rank_segments(counted, ["k"]).orderBy("before").collect()
+    sizes = [s.through - s.before for s in segments]
+    assert len(segments) == 8 and sum(sizes) == n and max(sizes) < n / 4
+    assert all(a.highest < b.lowest and a.through == b.before for a, b in zip(segments, segments[1:]))
+    assert exact_median(df, ["k"], "v").first().median == 70 + (n // 2) * 7e-9
+
+
+def test_large_shuffles_are_two(spark):
+    """The counts and their ranges are shuffled whole; the other exchanges carry segments and the values of one or two of them."""
+    df = spark.range(20_000).select((F.col("id") % 3).alias("k"), (F.col("id") * 0.5).alias("v"))
+    plan = executed(exact_median(df, ["k"], "v"))
+    exchanges = [line for line in plan.splitlines() if "Exchange " in line and "Reused" not in line and "Broadcast" not in line]
+    assert sum("rangepartitioning" in line for line in exchanges) == 1
+    assert sum("hashpartitioning(k#" in line and ", v#" in line for line in exchanges) == 1
+    assert len(exchanges) <= 5 and plan.count("SinglePartition") == 0
+
+
+def test_null_groups_and_middles_in_two_segments(spark):
+    rows = [(None, float(v)) for v in range(10)] + [("a", None), ("b", None), ("b", 3.0)] + [("c", float(v)) for v in range(1000)]
+    found = {r.k: r.median for r in exact_median(spark.createDataFrame(rows, "k STRING, v DOUBLE"), ["k"], "v").collect()}
+    assert found == {None: 4.5, "a": None, "b": 3.0, "c": 499.5}
+    for n in range(2, 40):
+        assert exact_median(spark.range(n).withColumn("k", F.lit(0)), ["k"], "id").first().median == (n - 1) / 2
+
+
 def test_approximate_median_is_close(spark):
     df = spark.range(10_001).select(F.lit(1).alias("k"), F.col("id").alias("v"))
     assert approx_median(df, ["k"], "v").first().median == pytest.approx(5000, abs=2)
