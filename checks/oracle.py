@@ -438,4 +438,6 @@ def oracle() -> dict[str, str]:
         ),
         "stream_gold_panel": series_sql("machine", "gold", "window_start", "avg_vibration", "median_avg_vibration"),
         "parquet_sink_roundtrip": layer_sql("machine", "bronze"),
+        "lake_compaction_roundtrip": layer_sql("machine", "bronze"),
+        "lake_compacted_gold": layer_sql("worker", "gold"),
     }

@@ -7,6 +7,7 @@ shapes the result for comparison (``comparable``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from floorline.plans.layouts import relational_layout, search_layout
 from floorline.plans.views import VIEWS, local_time_view
 from floorline.session import pin_clock
 from floorline.sinks.batch import Batch
-from floorline.sinks.lake import LakeSink, read_lake
+from floorline.sinks.lake import LakeSink, compact, read_lake
 from floorline.streaming.datasets import DATASETS, dataset
 from floorline.streaming.workspace import shared_folder
 
@@ -200,6 +201,33 @@ def parquet_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(read_lake(spark, root, "machine", "bronze"))
 
 
+def last_day(rows: DataFrame, ts: str):
+    """The day of the newest row; the days before it are closed."""
+    return rows.agg(F.to_date(F.max(ts)).alias("day")).first().day
+
+
+def lake_compaction_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Machine bronze in batches, closed days compacted in between and afterwards, then read."""
+    events = events_of(spark, folder)
+    root = shared_folder(spark, "lake")
+    target, sink = dataset("machine_bronze_lake"), LakeSink(root)
+    closed = last_day(events, "ts")
+    for batch_id, part in enumerate(slices(events, 3)):
+        sink.write(layers.bronze_layer(PAYLOADS["machine"](part), "machine"), target, Batch("compacted", batch_id))
+        if batch_id and closed:
+            compact(spark, root, "machine", "bronze", closed)
+    return comparable(read_lake(spark, root, "machine", "bronze"))
+
+
+def lake_compacted_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Worker gold as a stream's changelog, all days compacted: every stored revision is then a window's newest."""
+    root = run_slices(spark, events_of(spark, folder), "worker", {"gold"})
+    newest = last_day(read_lake(spark, root, "worker", "gold"), "window_start")
+    if newest:
+        compact(spark, root, "worker", "gold", newest + timedelta(days=1))
+    return comparable(read_lake(spark, root, "worker", "gold", revisions=True).drop("query_id", "batch_id", "revision"))
+
+
 def registered() -> dict[str, Query]:
     return {
         "machine_decode_bronze": _layer("machine", "bronze"),
@@ -229,4 +257,6 @@ def registered() -> dict[str, Query]:
         "stream_domain_gold_view": stream_domain_gold_view,
         "stream_gold_panel": stream_gold_panel,
         "parquet_sink_roundtrip": parquet_sink_roundtrip,
+        "lake_compaction_roundtrip": lake_compaction_roundtrip,
+        "lake_compacted_gold": lake_compacted_gold,
     }
