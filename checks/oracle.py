@@ -210,6 +210,11 @@ on_time AS (
   WHERE closed_until IS NULL OR date_trunc('minute', "timestamp") + INTERVAL 1 MINUTE > closed_until
 )"""
 
+# The closing stream goes by the newest event of all earlier micro-batches, six in all.
+BATCH_LATE = NOT_LATE.replace("* 3 // width", "* 6 // width") + """,
+too_late AS (SELECT * FROM sliced WHERE n NOT IN (SELECT n FROM on_time)),
+final AS (SELECT max("timestamp") - INTERVAL 1 MINUTE AS closed_until FROM sliced)"""
+
 STEPS = {
     "machine": {
         "bronze": [MACHINE_BRONZE],
@@ -343,6 +348,14 @@ def late_gold_sql() -> str:
     return f"WITH {steps}\nSELECT {MACHINE_AGGREGATES} FROM gold"
 
 
+def closing_sql(source: str, columns: str) -> str:
+    """Late events, or windows over the others that the last watermark has closed."""
+    silver = MACHINE_SILVER.replace("FROM valid", f"FROM {source}")
+    steps = ",".join([LATE_EVENTS, MACHINE_BRONZE, MACHINE_VALID, BATCH_LATE, silver, MACHINE_GOLD])
+    closed = " WHERE window_end <= (SELECT closed_until FROM final)" if source == "on_time" else ""
+    return f"WITH {steps}\nSELECT {columns} FROM {'gold' if closed else 'silver'}{closed}"
+
+
 def computed_sql(domain: str, columns: str) -> str:
     identity = {"machine": "event_id", "worker": 'worker_id, "timestamp"'}[domain]
     return layer_sql(domain, "silver", f"{identity}, {columns}")
@@ -440,4 +453,8 @@ def oracle() -> dict[str, str]:
         "parquet_sink_roundtrip": layer_sql("machine", "bronze"),
         "lake_compaction_roundtrip": layer_sql("machine", "bronze"),
         "lake_compacted_gold": layer_sql("worker", "gold"),
+        "stream_closed_windows": closing_sql("on_time", MACHINE_AGGREGATES),
+        "stream_late_events": closing_sql("too_late", COLUMNS["machine", "silver"]),
+        "machine_gold_merged": layer_sql("machine", "gold"),
+        "worker_gold_merged": layer_sql("worker", "gold"),
     }

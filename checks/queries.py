@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.event_log import PAYLOADS
-from checks.streams import LATENESS, run_slices, slices
+from checks.streams import LATENESS, run_closing, run_slices, slices
 from floorline.contracts import MACHINE_SILVER, RELATIONAL_TABLES, SEARCH_INDEXES
 from floorline.functions.text import to_json_value
 from floorline.operators.enrich import machine_columns, worker_columns
+from floorline.operators.partials import gold_from_parts, gold_parts, merge_parts
 from floorline.operators.quality import RULES, valid
 from floorline.plans import layers
 from floorline.plans.dashboards import PANELS, panel
@@ -25,6 +26,7 @@ from floorline.plans.views import VIEWS, local_time_view
 from floorline.session import pin_clock
 from floorline.sinks.batch import Batch
 from floorline.sinks.lake import LakeSink, compact, read_lake
+from floorline.streaming.closing import CLOSED, LATE, OUTPUTS
 from floorline.streaming.datasets import DATASETS, dataset
 from floorline.streaming.workspace import shared_folder
 
@@ -228,6 +230,30 @@ def lake_compacted_gold(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(read_lake(spark, root, "worker", "gold", revisions=True).drop("query_id", "batch_id", "revision"))
 
 
+def _closing(kind: str, layer: str) -> Query:
+    """What the closing stream of the late-data events has stored: each closed window once, or the events that came too late."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = run_closing(spark, events_of(spark, folder), "machine", LATENESS)
+        stored = read_lake(spark, root, "machine", layer, revisions=True, target=OUTPUTS["machine"][kind].target)
+        return comparable(stored.drop("query_id", "batch_id", "revision"))
+
+    return query
+
+
+def _merged_gold(domain: str) -> Query:
+    """Gold from stored parts: those of three slices of the log, written one by one and merged."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        parts = shared_folder(spark, f"{domain}-parts")
+        for part in slices(events_of(spark, folder), 3):
+            silver = layers.silver_layer(layers.bronze_layer(PAYLOADS[domain](part), domain, layers.GOLD_INPUTS[domain]), domain)
+            gold_parts(silver, domain).write.mode("append").parquet(parts)
+        return comparable(gold_from_parts(merge_parts(spark.read.parquet(parts), domain), domain))
+
+    return query
+
+
 def registered() -> dict[str, Query]:
     return {
         "machine_decode_bronze": _layer("machine", "bronze"),
@@ -259,4 +285,8 @@ def registered() -> dict[str, Query]:
         "parquet_sink_roundtrip": parquet_sink_roundtrip,
         "lake_compaction_roundtrip": lake_compaction_roundtrip,
         "lake_compacted_gold": lake_compacted_gold,
+        "stream_closed_windows": _closing(CLOSED, "gold"),
+        "stream_late_events": _closing(LATE, "silver"),
+        "machine_gold_merged": _merged_gold("machine"),
+        "worker_gold_merged": _merged_gold("worker"),
     }

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from checks.event_log import PAYLOADS
 from floorline.sinks.lake import LakeSink
 from floorline.sources.raw import read_stream
+from floorline.streaming.closing import start_closing
 from floorline.streaming.datasets import DATASETS
 from floorline.streaming.pipelines import start_domain
 from floorline.streaming.workspace import shared_folder, stream_session
@@ -31,14 +35,9 @@ def slices(events: DataFrame, count: int = SLICES) -> list[DataFrame]:
     return [events.where(number == i) for i in range(count)]
 
 
-def run_slices(
-    spark: SparkSession,
-    events: DataFrame,
-    domain: str,
-    layers: set[str],
-    delay: str | None = None,
-) -> str:
-    """Feed all events slice by slice to the streams of a domain; returns the lake root.
+def feed(spark: SparkSession, events: DataFrame, domain: str, delay: str | None,
+         start: Callable[[DataFrame, str], list[StreamingQuery]]) -> str:
+    """Feed all events slice by slice to the queries that ``start`` makes of the stream; returns the work folder.
 
     Slices arrive as ordered files and a micro-batch takes one slice.  For every
     few of them the queries are started again on the same checkpoint and run
@@ -46,16 +45,31 @@ def run_slices(
     """
     work = shared_folder(spark, f"{domain}-stream")
     session = stream_session(spark)
-    chosen = [d for d in DATASETS if d.domain == domain and d.layer in layers]
     arriving = slices(events)
     for begin in range(0, len(arriving), ARRIVALS):
         for arrived in arriving[begin:begin + ARRIVALS]:
             PAYLOADS[domain](arrived, delay).repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{work}/wire")
         raw = read_stream(session, "parquet", {"maxFilesPerTrigger": FILES_PER_BATCH}, schema=WIRE_FILES, path=f"{work}/wire")
-        queries = start_domain(
-            raw, domain, {"lake": LakeSink(f"{work}/lake")}, f"{work}/checkpoint",
-            {"availableNow": True}, chosen,
-        )
-        for query in queries:
+        for query in start(raw, work):
             query.awaitTermination()
-    return f"{work}/lake"
+    return work
+
+
+def run_slices(spark: SparkSession, events: DataFrame, domain: str, layers: set[str], delay: str | None = None) -> str:
+    """The layers of a domain kept in a lake by its streams; returns the lake root."""
+    chosen = [d for d in DATASETS if d.domain == domain and d.layer in layers]
+
+    def start(raw: DataFrame, work: str) -> list[StreamingQuery]:
+        return start_domain(raw, domain, {"lake": LakeSink(f"{work}/lake")}, f"{work}/checkpoint", {"availableNow": True}, chosen)
+
+    return f"{feed(spark, events, domain, delay, start)}/lake"
+
+
+def run_closing(spark: SparkSession, events: DataFrame, domain: str, delay: str | None = None) -> str:
+    """Closed windows and late events of a domain in a lake; returns its root."""
+
+    def start(raw: DataFrame, work: str) -> list[StreamingQuery]:
+        sink = LakeSink(f"{work}/lake")
+        return [start_closing(raw, domain, sink, sink, f"{work}/checkpoint", {"availableNow": True})]
+
+    return f"{feed(spark, events, domain, delay, start)}/lake"

@@ -95,16 +95,16 @@ def read_files(spark: SparkSession, folder: str, paths: list[str], schema: T.Str
 
 
 def read_lake(spark: SparkSession, root: str, domain: str, layer: str, revisions: bool = False, version: int | None = None,
-              since: date | None = None, until: date | None = None) -> DataFrame:
+              since: date | None = None, until: date | None = None, target: str | None = None) -> DataFrame:
     """A stored layer in layer column order, gold as it is now: the newest revision of each window.
 
     It is a snapshot: of the newest commit or, with ``version``, of that one, while
     others write or compact.  ``since`` and ``until`` (excluded) leave out the files of other
-    days.  ``revisions`` gives all that is stored, with query id, batch id and, for
+    days, and ``target`` is another table with the layer's columns.  ``revisions`` gives all that is stored, with query id, batch id and, for
     gold, ``revision``; a compacted day has the ids of its compaction.  Types are
     declared, so no footers are read for them and a layer that holds nothing yet has no rows.
     """
-    log = CommitLog(spark, f"{root}/{lake_path(domain, layer)}")
+    log = CommitLog(spark, f"{root}/{target or lake_path(domain, layer)}")
     files = log.active(version)
     if since is not None:
         files = files.where(F.col("day") >= F.lit(since))

@@ -87,7 +87,7 @@ def _writer(derive: Derive, outputs: Outputs) -> Callable[[DataFrame, int], None
     return write
 
 
-def _start(
+def start_query(
     spark: SparkSession, writer: DataStreamWriter, name: str, checkpoint: str, trigger: Mapping | None
 ) -> StreamingQuery:
     """Start a query in a scheduler pool of its own.
@@ -111,7 +111,7 @@ def start_stateless(
     """Bronze, quarantine and silver datasets from one pass over the source."""
     write = _writer(lambda bronze: layers.stateless_layers(bronze, domain), outputs)
     bronze = layers.bronze_layer(raw, domain)
-    return _start(
+    return start_query(
         raw.sparkSession, bronze.writeStream.outputMode("append").foreachBatch(write),
         f"{domain}_events", checkpoint, trigger,
     )
@@ -123,7 +123,7 @@ def start_gold(
     """Gold datasets from one windowed state; changed windows are written again."""
     write = _writer(lambda gold: {"gold": gold}, outputs)
     gold = layers.build_layer(raw, domain, "gold", watermark=WATERMARK)
-    return _start(
+    return start_query(
         raw.sparkSession, gold.writeStream.outputMode("update").foreachBatch(write),
         f"{domain}_gold", checkpoint, trigger,
     )
@@ -173,7 +173,7 @@ def start_dataset(
         writer = sink.documents(rows, dataset).writeStream.format("kafka").options(**sink.options(dataset.target))
     else:
         writer = rows.writeStream.foreachBatch(_writer(lambda batch: {dataset.layer: batch}, [(dataset, sink)]))
-    return _start(raw.sparkSession, writer.outputMode(dataset.output_mode), dataset.name, checkpoint, trigger)
+    return start_query(raw.sparkSession, writer.outputMode(dataset.output_mode), dataset.name, checkpoint, trigger)
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
