@@ -25,7 +25,7 @@ from floorline.llm.quality import held_out
 
 UNKNOWN = "und"
 # Bytes of a window, states of a direction, windows that are labelled side by side.
-WINDOW, HIDDEN, SIDE_BY_SIDE = 64, 16, 2048
+WINDOW, HIDDEN, SIDE_BY_SIDE = 64, 16, 1024
 # The sample: languages at most, those with most rows, documents of one and windows of one document, those of the smallest hashes.
 SAMPLE_LANGUAGES, SAMPLE_ROWS, SAMPLE_WINDOWS = 200, 400, 8
 STEPS, BATCH, RATE = 200, 192, 1e-2
@@ -147,16 +147,61 @@ class Model:
             slopes[f"{d}E"][flat[order][begins]] = np.add.reduceat(given.reshape(-1, 3 * hidden)[order], begins, axis=0)
         return loss, slopes
 
+    def labelled(self, data: np.ndarray, filled: np.ndarray) -> np.ndarray:
+        """Each window's sum of its positions' probabilities; the same numbers as ``position_probabilities`` in fewer passes over memory.
+
+        Gates are 1 / (1 + exp(-x)) and tanh(x) is twice the gate of 2 x less 1, so weights are negated and doubled once.
+        """
+        w, hidden, n = self.weights, self.weights["fC"].shape[0], len(data)
+        columns, ragged = np.ascontiguousarray(data.T), filled.min() < WINDOW
+        scores = np.zeros((WINDOW, n, len(self.languages)), np.float32)
+        update, reset, fresh, product = (np.empty((n, hidden), np.float32) for _ in range(4))
+
+        def gate(x: np.ndarray) -> None:
+            np.exp(x, out=x)
+            np.add(x, 1, out=x)
+            np.reciprocal(x, out=x)
+
+        with np.errstate(over="ignore"):  # a gate whose exponential is infinite is 0
+            for k, d in enumerate(DIRECTIONS):
+                tables = [np.ascontiguousarray(factor * w[f"{d}E"][:, a * hidden:(a + 1) * hidden]) for a, factor in enumerate((-1, -1, -2))]
+                to_update, to_reset = (np.ascontiguousarray(-w[f"{d}U"][:, a * hidden:(a + 1) * hidden]) for a in (0, 1))
+                to_fresh, out = -2 * w[f"{d}C"], np.ascontiguousarray(w["W"][k * hidden:(k + 1) * hidden])
+                h = np.zeros((n, hidden), np.float32)
+                for t in range(WINDOW) if d == "f" else reversed(range(WINDOW)):
+                    for x, table, to in ((update, tables[0], to_update), (reset, tables[1], to_reset)):
+                        np.take(table, columns[t], axis=0, out=x, mode="clip")
+                        np.matmul(h, to, out=product)
+                        np.add(x, product, out=x)
+                        gate(x)
+                    np.multiply(reset, h, out=reset)
+                    np.take(tables[2], columns[t], axis=0, out=fresh, mode="clip")
+                    np.matmul(reset, to_fresh, out=product)
+                    np.add(fresh, product, out=fresh)
+                    gate(fresh)
+                    np.add(fresh, fresh, out=fresh)
+                    np.subtract(fresh, 1, out=fresh)
+                    np.subtract(fresh, h, out=fresh)
+                    np.multiply(fresh, update, out=fresh)
+                    if ragged:
+                        fresh[t >= filled] = 0
+                    np.add(h, fresh, out=h)
+                    scores[t] += h @ out
+        scores += w["b"]
+        scores -= scores.max(axis=2, keepdims=True)
+        np.exp(scores, out=scores)
+        scores /= scores.sum(axis=2, keepdims=True)
+        if ragged:
+            scores *= (np.arange(WINDOW)[:, None] < filled)[:, :, None]
+        return scores.sum(axis=0)
+
     def text_probabilities(self, texts: list[bytes]) -> np.ndarray:
         """A row per text: the mean of its positions' probabilities; an empty text has none and gives zeros."""
         data, filled, owner = windows_of(texts)
         sums = np.zeros((len(texts), len(self.languages)))
         for a in range(0, len(data), SIDE_BY_SIDE):
-            some, sizes = data[a:a + SIDE_BY_SIDE], filled[a:a + SIDE_BY_SIDE]
-            p = self.position_probabilities(some, sizes)
-            if sizes.min() < WINDOW:
-                p *= (np.arange(WINDOW)[:, None] < sizes)[:, :, None]
-            np.add.at(sums, owner[a:a + SIDE_BY_SIDE], p.sum(axis=0))
+            b = a + SIDE_BY_SIDE
+            np.add.at(sums, owner[a:b], self.labelled(data[a:b], filled[a:b]))
         return sums / np.maximum([[len(t)] for t in texts], 1)
 
 
@@ -198,28 +243,29 @@ def fit_language(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """A model from rows with a language, a letter and an id that is not held out; None without any.
 
     The sample is bounded whatever the input: of the ``sample_languages`` languages
-    with most rows, ``sample_rows`` rows each, those of the smallest hashes of id
-    and text, and ``sample_windows`` windows of each.  Rows that repeat an id and
+    with most rows, ``sample_rows`` rows each, chosen by hashes of id and
+    text, and ``sample_windows`` windows of each.  Rows that repeat an id and
     text count once.  A null id is not held out.
     """
     if min(hidden, steps, sample_languages, sample_rows, sample_windows) < 1:
         raise ValueError("sizes of the model and the sample are at least 1")
     known = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"),
                         F.col(id_column).cast("string").alias("id"), held_out(F.col(id_column)).alias("out")).filter(
-        "lang IS NOT NULL AND NOT out").filter(F.col("text").rlike(r"\p{L}"))
-    chosen = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(sample_languages).select("lang")
-    hashed = known.join(F.broadcast(chosen), "lang").select("lang", F.xxhash64("id", "text").alias("hash"), "text")
+        "lang IS NOT NULL AND NOT out").filter(F.col("text").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("id", "text"))
+    chosen = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(sample_languages)
+    # Of a language, about twice the rows wanted have hashes below this share of all hashes; no task sees more of it.
+    share = 2.0 * sample_rows / F.col("rows")
+    below = known.join(F.broadcast(chosen), "lang").filter(F.pmod("hash", F.lit(1 << 32)) / float(1 << 32) < share).select("lang", "hash", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [some_windows(t, sample_windows) for t in batch["text"].cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["lang"], batch["hash"], pa.array(texts, pa.binary())], names=["lang", "hash", "some"])
 
-    # Each shard of a language keeps its smallest hashes, so no task ranks a whole language; windows are cut before any shuffle.
-    short = hashed.mapInArrow(cut, "lang string, hash long, some binary").dropDuplicates(["lang", "hash"])
-    for keys in (["lang", F.pmod(F.col("hash"), F.lit(64))], ["lang"]):
-        order = Window.partitionBy(*keys).orderBy("hash")
-        short = short.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample_rows).drop("place")
+    # Rows of one hash are counted as one before the shuffle.
+    short = below.mapInArrow(cut, "lang string, hash long, some binary").dropDuplicates(["lang", "hash"])
+    short = short.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).filter(
+        F.col("place") <= sample_rows).drop("place")
     rows = short.collect()  # at most sample_languages * sample_rows texts of sample_windows windows
     if not rows:
         return None
