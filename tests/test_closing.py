@@ -1,0 +1,98 @@
+"""Windows given out once when they close, and the events that came too late for theirs."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from conftest import machine, worker
+
+from floorline.operators.partials import KEYS
+from floorline.plans.layers import build_layer
+from floorline.sinks.lake import LakeSink, read_lake
+from floorline.sources.raw import read_stream
+from floorline.streaming.closing import CLOSED, LATE, OUTPUTS, start_closing
+from floorline.streaming.workspace import stream_session
+
+ONCE = {"availableNow": True}
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    """Run the closing stream over one more arrival of documents; its sink is the lake below ``tmp_path``."""
+    session, wire = stream_session(spark, state_partitions=2), tmp_path / "wire"
+    wire.mkdir()
+
+    def run(domain, documents, sink=None):
+        lines = "\n".join(d if isinstance(d, str) else json.dumps(d) for d in documents)
+        (wire / f"{len(list(wire.iterdir())):04}.json").write_text(lines)
+        lake = sink or LakeSink(str(tmp_path / "lake"))
+        start_closing(read_stream(session, "text", path=str(wire)), domain, lake, lake, str(tmp_path / "ck"), ONCE).awaitTermination()
+
+    return run
+
+
+def stored(spark, tmp_path, domain, kind):
+    return read_lake(spark, f"{tmp_path}/lake", domain, OUTPUTS[domain][kind].layer, revisions=True, target=OUTPUTS[domain][kind].target)
+
+
+def at(*times, **changes):
+    return [machine(timestamp=f"2024-01-01T{t}Z", event_id=t, **changes) for t in times]
+
+
+def test_every_event_is_in_one_window_or_late(spark, tmp_path, feed):
+    arrivals = [at("10:00:10", "10:00:40"), at("10:00:50", "10:03:00"), at("10:00:55", "10:02:10", "10:05:00"), at("10:03:20", "10:09:00", "10:08:59")]
+    for documents in arrivals:
+        feed("machine", documents)
+    late = stored(spark, tmp_path, "machine", LATE).collect()
+    assert sorted(r.event_id for r in late) == ["10:00:55", "10:03:20"]
+    closed = {f"{r.window_start:%H:%M}": r for r in stored(spark, tmp_path, "machine", CLOSED).collect()}
+    # The last watermark is 10:08, so the windows that end after it are still open.
+    assert {k: r.total_events for k, r in closed.items()} == {"10:00": 3, "10:02": 1, "10:03": 1, "10:05": 1}
+    on_time = [json.dumps(d).encode() for documents in arrivals for d in documents if d["event_id"] not in ("10:00:55", "10:03:20")]
+    gold = build_layer(spark.createDataFrame([(d,) for d in on_time], "value BINARY"), "machine", "gold")
+    expected = {f"{r.window_start:%H:%M}": r for r in gold.collect()}
+    for k, row in closed.items():
+        assert {c: pytest.approx(row[c]) if isinstance(row[c], float) else row[c] for c in gold.columns} == expected[k].asDict()
+
+
+def test_late_events_keep_all_columns(spark, tmp_path, feed):
+    feed("machine", at("10:00:00", "10:30:00"))
+    odd = machine(timestamp="2024-01-01T10:01:00Z", event_id="late", vibration=None, error_code="E7", is_fault=None)
+    feed("machine", [odd, *at("10:31:00")])
+    row = stored(spark, tmp_path, "machine", LATE).drop("query_id", "batch_id").collect()
+    silver = build_layer(spark.createDataFrame([(json.dumps(odd).encode(),)], "value BINARY"), "machine", "silver")
+    assert row == silver.collect()
+
+
+def test_worker_windows_and_nulls(spark, tmp_path, feed):
+    documents = [worker(timestamp=f"2024-01-01T08:0{k}:00Z", fatigue_score=s, danger_zone=z) for k, (s, z) in
+                 enumerate([(10, True), (None, None), (30, False)])]
+    feed("worker", [*documents, worker(worker_id="W2", timestamp="2024-01-01T08:00:00Z", fatigue_score=None)])
+    feed("worker", [worker(timestamp="2024-01-01T09:00:00Z")])
+    closed = {r.worker_id: r for r in stored(spark, tmp_path, "worker", CLOSED).collect()}
+    assert closed["W001"].avg_fatigue_score == 20 and closed["W2"].avg_fatigue_score is None
+    gold = {r.worker_id: r for r in build_layer(spark.createDataFrame(
+        [(json.dumps(d).encode(),) for d in [*documents, worker(worker_id="W2", timestamp="2024-01-01T08:00:00Z", fatigue_score=None)]], "value BINARY"),
+        "worker", "gold").collect()}
+    assert {k: tuple(r)[:len(gold["W2"])] for k, r in closed.items()} == {k: tuple(r) for k, r in gold.items()}
+    assert stored(spark, tmp_path, "worker", LATE).isEmpty() and set(KEYS) == set(OUTPUTS)
+
+
+def test_a_failed_batch_is_given_out_again_once(spark, tmp_path, feed):
+    """A sink that fails after the closed windows were committed: the replay adds the late events alone."""
+    lake = LakeSink(str(tmp_path / "lake"))
+
+    class HalfBroken:
+        def write(self, rows, target, batch):
+            if target.layer == "silver":
+                raise RuntimeError("store is down")
+            lake.write(rows, target, batch)
+
+    feed("machine", at("10:00:00", "10:30:00"))
+    with pytest.raises(Exception, match="store is down"):
+        feed("machine", at("10:00:30", "10:40:00"), HalfBroken())
+    feed("machine", at("10:50:00"))
+    assert [r.event_id for r in stored(spark, tmp_path, "machine", LATE).collect()] == ["10:00:30"]
+    starts = [f"{r.window_start:%H:%M}" for r in stored(spark, tmp_path, "machine", CLOSED).collect()]
+    assert sorted(starts) == ["10:00", "10:30", "10:40"]
