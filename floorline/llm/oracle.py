@@ -131,14 +131,14 @@ said AS (
   UNION ALL SELECT conv_id, turn, level, says FROM run
 ),
 k AS MATERIALIZED (
-  SELECT DISTINCT conv_id, turn, level, trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g')) AS k FROM said WHERE turn IS NOT NULL AND level <= 1
+  SELECT DISTINCT conv_id, turn, level, trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g')) AS k FROM said WHERE turn IS NOT NULL
 ),
 origin AS (
-  SELECT q.conv_id, q.turn, q.k, max(o.turn) AS origin FROM k q JOIN k o
-    ON q.level = 1 AND o.level = 0 AND q.k = o.k AND q.k <> '' AND q.conv_id IS NOT DISTINCT FROM o.conv_id AND o.turn < q.turn GROUP BY 1, 2, 3
+  SELECT q.conv_id, q.turn, q.level, q.k, max(o.turn) AS origin FROM k q JOIN k o
+    ON q.level > 0 AND o.level = 0 AND q.k = o.k AND q.k <> '' AND q.conv_id IS NOT DISTINCT FROM o.conv_id AND o.turn < q.turn GROUP BY 1, 2, 3, 4
 ),
-weight AS (SELECT conv_id, turn, origin, sum(length(k)) AS w FROM origin GROUP BY 1, 2, 3),
-link AS (SELECT conv_id, turn, origin AS reply_to FROM weight QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY w DESC, origin DESC) = 1),
+weight AS (SELECT conv_id, turn, level, origin, sum(length(k)) AS w FROM origin GROUP BY 1, 2, 3, 4),
+link AS (SELECT conv_id, turn, origin AS reply_to FROM weight QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, w DESC, origin DESC) = 1),
 t AS MATERIALIZED (
   SELECT d.conv_id, d.turn, reply_to FROM (SELECT DISTINCT conv_id, turn FROM m WHERE turn IS NOT NULL) d
   LEFT JOIN link l ON d.conv_id IS NOT DISTINCT FROM l.conv_id AND d.turn = l.turn

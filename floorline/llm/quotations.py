@@ -66,10 +66,10 @@ def split_quotes(messages: DataFrame, text_column: str = "text") -> DataFrame:
     )).drop("levels__", "says__", "runs__")
 
 
-def reply_links(keys: DataFrame, deepest: int | None = 1) -> DataFrame:
+def reply_links(keys: DataFrame, deepest: int | None = None) -> DataFrame:
     """``conv``, ``turn`` and ``reply_to``, the turn it quotes most at the shallowest level with a link; turns without one have no row.
 
-    Levels beyond ``deepest`` are not joined; None joins all.
+    All levels are joined unless the caller gives the ``deepest`` that is.
     """
     spread = keys.select("conv", "turn", F.explode("keys").alias("k")).select("conv", "turn", "k.level", "k.key", "k.size")
     joined = F.lit(True) if deepest is None else F.col("level") <= deepest
@@ -97,7 +97,7 @@ def thread_paths(turns: DataFrame) -> DataFrame:
 
 
 def reply_ordered(messages: DataFrame, conversation_column: str = "conv_id", turn_column: str = "turn",
-                  role_column: str = "role", text_column: str = "text", deepest: int | None = 1) -> DataFrame:
+                  role_column: str = "role", text_column: str = "text", deepest: int | None = None) -> DataFrame:
     """Per message: conversation, turn, role, ``own_text``, ``n_quotes``, ``reply_to``, ``depth``, ``position``, ``formatted``.
 
     ``position`` (from 1) is the message's place in its conversation, each message
@@ -105,8 +105,9 @@ def reply_ordered(messages: DataFrame, conversation_column: str = "conv_id", tur
     together, ordered by role and text, and link as one.  A null text says
     nothing; a null role is written ``unknown``; messages with a null turn are
     linked with nothing and come first; those with a null conversation form one.
-    Quotes nowhere said before link to nothing and are dropped all the same; so
-    are those of a level beyond ``deepest``, 1 as in the SQL; None links by all.
+    Of all levels the shallowest with a quote that was said before counts.  Quotes
+    nowhere said before link to nothing and are dropped all the same; so are those
+    of a level beyond ``deepest``, where a caller sets one.
     """
     plain = messages.select(F.col(conversation_column).alias("conv"), F.col(turn_column).cast("long").alias("turn"),
                             F.col(role_column).alias("role"), F.col(text_column).alias("text"))

@@ -52,6 +52,7 @@ def test_deeper_levels_link_where_shallower_ones_do_not(spark):
     frame = clashing(spark.createDataFrame(rows, SCHEMA))
     linked = lambda deepest: [r["reply_to"] for r in sorted(reply_ordered(frame, deepest=deepest).collect(), key=lambda r: r["turn"])]
     assert linked(None) == [None, None, 0, 1, 1, 0, None]
+    assert [r["reply_to"] for r in sorted(reply_ordered(frame).collect(), key=lambda r: r["turn"])] == linked(None)  # all levels unless asked otherwise
     assert linked(2) == [None, None, 0, 1, 1, None, None]
     assert linked(1) == [None, None, None, None, 1, None, None]
 
@@ -64,7 +65,7 @@ def test_matches_sql_on_random_threads(spark, tmp_path):
             lines = [f"line {rng.randrange(30)}" for _ in range(rng.randrange(0, 3))]
             for _ in range(rng.randrange(0, 3)):
                 source = said.get((conv, rng.randrange(max(1, turn))), ["nothing"])
-                lines += [">" * rng.choice((1, 1, 2)) + rng.choice((" ", "")) + x.upper() for x in source if not x.startswith(">")]
+                lines += [">" * rng.choice((1, 1, 2, 3)) + rng.choice((" ", "")) + x.upper() for x in source if not x.startswith(">")]
                 if rng.random() < 0.5:
                     lines.append("own " + str(rng.randrange(5)))
             said[conv, turn] = lines
