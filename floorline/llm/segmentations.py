@@ -36,7 +36,7 @@ TOP = 3
 # A piece's weight is (1 + its merge rank) to the power of minus this; a byte is as heavy as the last piece.
 SHARPNESS = 1.0
 # Lattices of distinct words that a task keeps before it starts anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 TEXT_BYTES, DECODE_ROWS = 1 << 19, 500
 SPACE = "▁"
 
