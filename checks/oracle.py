@@ -356,6 +356,20 @@ def closing_sql(source: str, columns: str) -> str:
     return f"WITH {steps}\nSELECT {columns} FROM {'gold' if closed else 'silver'}{closed}"
 
 
+def outcomes_sql(domain: str) -> str:
+    steps = ",".join([EVENTS, *dict.fromkeys([*STEPS[domain]["quarantine"], *STEPS[domain]["unrouted"]])])
+    return f"""WITH {steps}
+SELECT outcome, count(*) AS n FROM (
+  SELECT validation_reason AS outcome FROM quarantine UNION ALL SELECT 'VALID' FROM valid UNION ALL SELECT 'UNROUTED' FROM unrouted
+) GROUP BY 1"""
+
+
+def sketched_sql(domain: str, reading: str) -> str:
+    steps = ",".join([EVENTS, *STEPS[domain]["silver"]])
+    return f"""WITH {steps}
+SELECT date_trunc('day', "timestamp") AS bucket, count({reading}) AS readings, true AS close FROM silver WHERE {reading} IS NOT NULL GROUP BY 1"""
+
+
 def computed_sql(domain: str, columns: str) -> str:
     identity = {"machine": "event_id", "worker": 'worker_id, "timestamp"'}[domain]
     return layer_sql(domain, "silver", f"{identity}, {columns}")
@@ -455,6 +469,10 @@ def oracle() -> dict[str, str]:
         "lake_compacted_gold": layer_sql("worker", "gold"),
         "stream_closed_windows": closing_sql("on_time", MACHINE_AGGREGATES),
         "stream_late_events": closing_sql("too_late", COLUMNS["machine", "silver"]),
+        "stream_machine_outcomes": outcomes_sql("machine"),
+        "stream_worker_outcomes": outcomes_sql("worker"),
+        "sketched_temperature": sketched_sql("machine", "temperature"),
+        "sketched_heart_rate": sketched_sql("worker", "heart_rate"),
         "machine_gold_merged": layer_sql("machine", "gold"),
         "worker_gold_merged": layer_sql("worker", "gold"),
     }

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.event_log import PAYLOADS
-from checks.streams import LATENESS, run_closing, run_slices, slices
+from checks.streams import LATENESS, run_closing, run_counted, run_slices, slices
 from floorline.contracts import MACHINE_SILVER, RELATIONAL_TABLES, SEARCH_INDEXES
 from floorline.functions.text import to_json_value
 from floorline.operators.enrich import machine_columns, worker_columns
 from floorline.operators.partials import gold_from_parts, gold_parts, merge_parts
 from floorline.operators.quality import RULES, valid
+from floorline.operators.sketches import rank_error, reading_sketches, sketched_series
 from floorline.plans import layers
 from floorline.plans.dashboards import PANELS, panel
 from floorline.plans.layouts import relational_layout, search_layout
@@ -241,6 +242,30 @@ def _closing(kind: str, layer: str) -> Query:
     return query
 
 
+def _outcomes(domain: str) -> Query:
+    """Rows per outcome of the rules, as the stream has counted them while it wrote."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        totals = run_counted(spark, events_of(spark, folder), domain).totals()
+        return spark.createDataFrame(sorted(totals.items()), "outcome STRING, n BIGINT")
+
+    return query
+
+
+def _sketched_panel(name: str) -> Query:
+    """A panel by day from stored hourly sketches per unit: readings behind each estimate, and whether its rank is within two sketch errors."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        domain, layer, ts, reading = PANELS[name]
+        unit = {"machine": "machine_id", "worker": "worker_id"}[domain]
+        rows, stored = layer_of(spark, folder, domain, layer), shared_folder(spark, "sketches")
+        reading_sketches(rows, ts, reading, "1 hour", [unit]).write.parquet(stored)
+        daily = sketched_series(spark.read.parquet(stored), "1 day", fill_empty=False)
+        return comparable(rank_error(daily, rows, ts, reading, "1 day").select("bucket", "readings", (F.col("error") <= 0.0266).alias("close")))
+
+    return query
+
+
 def _merged_gold(domain: str) -> Query:
     """Gold from stored parts: those of three slices of the log, written one by one and merged."""
 
@@ -287,6 +312,10 @@ def registered() -> dict[str, Query]:
         "lake_compacted_gold": lake_compacted_gold,
         "stream_closed_windows": _closing(CLOSED, "gold"),
         "stream_late_events": _closing(LATE, "silver"),
+        "stream_machine_outcomes": _outcomes("machine"),
+        "stream_worker_outcomes": _outcomes("worker"),
+        "sketched_temperature": _sketched_panel("median_temperature"),
+        "sketched_heart_rate": _sketched_panel("median_heart_rate"),
         "machine_gold_merged": _merged_gold("machine"),
         "worker_gold_merged": _merged_gold("worker"),
     }

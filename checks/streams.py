@@ -12,6 +12,7 @@ from checks.event_log import PAYLOADS
 from floorline.sinks.lake import LakeSink
 from floorline.sources.raw import read_stream
 from floorline.streaming.closing import start_closing
+from floorline.streaming.counters import OutcomeCounts
 from floorline.streaming.datasets import DATASETS
 from floorline.streaming.pipelines import start_domain
 from floorline.streaming.workspace import shared_folder, stream_session
@@ -65,6 +66,26 @@ def run_slices(spark: SparkSession, events: DataFrame, domain: str, layers: set[
     return f"{feed(spark, events, domain, delay, start)}/lake"
 
 
+def run_counted(spark: SparkSession, events: DataFrame, domain: str) -> OutcomeCounts:
+    """Outcome counts of every micro-batch of the stateless stream of a domain."""
+    seen, chosen = OutcomeCounts(), [d for d in DATASETS if d.domain == domain and d.layer == "silver"]
+
+    def start(raw: DataFrame, work: str) -> list[StreamingQuery]:
+        session = raw.sparkSession
+        session.streams.addListener(seen)
+        try:
+            queries = start_domain(raw, domain, {"lake": LakeSink(f"{work}/lake")}, f"{work}/checkpoint", {"availableNow": True}, chosen)
+            for query in queries:
+                query.awaitTermination()
+                seen.wait_for(query)
+        finally:
+            session.streams.removeListener(seen)
+        return queries
+
+    feed(spark, events, domain, None, start)
+    return seen
+
+
 def run_closing(spark: SparkSession, events: DataFrame, domain: str, delay: str | None = None) -> str:
     """Closed windows and late events of a domain in a lake; returns its root."""
 

@@ -27,6 +27,7 @@ from floorline.operators.gold import WATERMARK
 from floorline.plans import layers
 from floorline.sinks.batch import Batch, current_batch
 from floorline.sinks.topic import TopicSink
+from floorline.streaming.counters import counted
 from floorline.streaming.datasets import DATASETS, Dataset
 
 log = logging.getLogger(__name__)
@@ -110,7 +111,7 @@ def start_stateless(
 ) -> StreamingQuery:
     """Bronze, quarantine and silver datasets from one pass over the source."""
     write = _writer(lambda bronze: layers.stateless_layers(bronze, domain), outputs)
-    bronze = layers.bronze_layer(raw, domain)
+    bronze = counted(layers.bronze_layer(raw, domain), domain)
     return start_query(
         raw.sparkSession, bronze.writeStream.outputMode("append").foreachBatch(write),
         f"{domain}_events", checkpoint, trigger,
