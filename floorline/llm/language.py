@@ -25,7 +25,7 @@ from floorline.llm.quality import held_out
 
 UNKNOWN = "und"
 # Bytes of a window, states of a direction, windows that are labelled side by side.
-WINDOW, HIDDEN, SIDE_BY_SIDE = 64, 16, 1024
+WINDOW, HIDDEN, SIDE_BY_SIDE = 64, 12, 1024
 # The sample: languages at most, those with most rows, documents of one and windows of one document, those of the smallest hashes.
 SAMPLE_LANGUAGES, SAMPLE_ROWS, SAMPLE_WINDOWS = 200, 400, 8
 STEPS, BATCH, RATE = 200, 192, 1e-2
