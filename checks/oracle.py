@@ -370,6 +370,15 @@ def sketched_sql(domain: str, reading: str) -> str:
 SELECT date_trunc('day', "timestamp") AS bucket, count({reading}) AS readings, true AS close FROM silver WHERE {reading} IS NOT NULL GROUP BY 1"""
 
 
+def unknown_sql() -> str:
+    """The one field of the payloads that the wire format leaves out."""
+    steps = ",".join([EVENTS, *STEPS["machine"]["bronze"]])
+    return f"""WITH {steps}
+SELECT event_id, flow_rate, CASE WHEN k = 13 THEN 'not json' END AS unread,
+  CASE WHEN k <> 13 AND u % 4 = 3 THEN k::DOUBLE END AS pump_sensors_oil_level_pct
+FROM bronze JOIN (SELECT n, u, k FROM ev) USING (n)"""
+
+
 def computed_sql(domain: str, columns: str) -> str:
     identity = {"machine": "event_id", "worker": 'worker_id, "timestamp"'}[domain]
     return layer_sql(domain, "silver", f"{identity}, {columns}")
@@ -471,6 +480,7 @@ def oracle() -> dict[str, str]:
         "stream_late_events": closing_sql("too_late", COLUMNS["machine", "silver"]),
         "stream_machine_outcomes": outcomes_sql("machine"),
         "stream_worker_outcomes": outcomes_sql("worker"),
+        "machine_unknown_fields": unknown_sql(),
         "sketched_temperature": sketched_sql("machine", "temperature"),
         "sketched_heart_rate": sketched_sql("worker", "heart_rate"),
         "machine_gold_merged": layer_sql("machine", "gold"),

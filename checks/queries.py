@@ -29,6 +29,7 @@ from floorline.sinks.batch import Batch
 from floorline.sinks.lake import LakeSink, compact, read_lake
 from floorline.streaming.closing import CLOSED, LATE, OUTPUTS
 from floorline.streaming.datasets import DATASETS, dataset
+from floorline.streaming.open_bronze import field_at, open_bronze, read_open, unknown_fields, write_open
 from floorline.streaming.workspace import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,6 +243,17 @@ def _closing(kind: str, layer: str) -> Query:
     return query
 
 
+def machine_unknown_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields outside the wire format, found in stored payloads and read by their paths, beside a typed column."""
+    root = shared_folder(spark, "lake")
+    sink = LakeSink(root)
+    for batch_id, part in enumerate(slices(events_of(spark, folder), 2)):
+        write_open(open_bronze(PAYLOADS["machine"](part), "machine"), "machine", sink, Batch("payloads", batch_id))
+    stored = read_open(spark, root, "machine")
+    found = sorted(unknown_fields(stored, "machine").items())
+    return comparable(stored.select("event_id", "flow_rate", "unread", *(field_at(path, kind).alias(path.replace(".", "_")) for path, kind in found)))
+
+
 def _outcomes(domain: str) -> Query:
     """Rows per outcome of the rules, as the stream has counted them while it wrote."""
 
@@ -314,6 +326,7 @@ def registered() -> dict[str, Query]:
         "stream_late_events": _closing(LATE, "silver"),
         "stream_machine_outcomes": _outcomes("machine"),
         "stream_worker_outcomes": _outcomes("worker"),
+        "machine_unknown_fields": machine_unknown_fields,
         "sketched_temperature": _sketched_panel("median_temperature"),
         "sketched_heart_rate": _sketched_panel("median_heart_rate"),
         "machine_gold_merged": _merged_gold("machine"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -95,12 +96,13 @@ def read_files(spark: SparkSession, folder: str, paths: list[str], schema: T.Str
 
 
 def read_lake(spark: SparkSession, root: str, domain: str, layer: str, revisions: bool = False, version: int | None = None,
-              since: date | None = None, until: date | None = None, target: str | None = None) -> DataFrame:
+              since: date | None = None, until: date | None = None, target: str | None = None,
+              extra: Sequence[T.StructField] = ()) -> DataFrame:
     """A stored layer in layer column order, gold as it is now: the newest revision of each window.
 
     It is a snapshot: of the newest commit or, with ``version``, of that one, while
     others write or compact.  ``since`` and ``until`` (excluded) leave out the files of other
-    days, and ``target`` is another table with the layer's columns.  ``revisions`` gives all that is stored, with query id, batch id and, for
+    days, and ``target`` is another table with the layer's columns and the ``extra`` ones.  ``revisions`` gives all that is stored, with query id, batch id and, for
     gold, ``revision``; a compacted day has the ids of its compaction.  Types are
     declared, so no footers are read for them and a layer that holds nothing yet has no rows.
     """
@@ -111,12 +113,14 @@ def read_lake(spark: SparkSession, root: str, domain: str, layer: str, revisions
     if until is not None:
         files = files.where(F.col("day") < F.lit(until))
     paths = [row.path for row in files.select("path").collect()]  # names of files, as a listing would give
-    stored = read_files(spark, log.folder.path, paths, stored_schema(spark, domain, layer))
+    schema = stored_schema(spark, domain, layer)
+    stored = read_files(spark, log.folder.path, paths, T.StructType([*extra, *schema]))
+    columns = [*LAYERS[domain, layer], *(column.name for column in extra)]
     if revisions:
-        return stored.select(*LAYERS[domain, layer], *BATCH, *([REVISION] if layer == "gold" else []))
+        return stored.select(*columns, *BATCH, *([REVISION] if layer == "gold" else []))
     if layer == "gold":
         stored = latest_revision(stored, GOLD_KEYS[domain], REVISION)
-    return stored.select(*LAYERS[domain, layer])
+    return stored.select(*columns)
 
 
 def compact(spark: SparkSession, root: str, domain: str, layer: str, before: date, keep_revisions: bool = False) -> int | None:
