@@ -371,7 +371,7 @@ SELECT date_trunc('day', "timestamp") AS bucket, count({reading}) AS readings, t
 
 
 def unknown_sql() -> str:
-    """The one field of the payloads that the wire format leaves out."""
+    """The one field of the payloads that bronze has no column for."""
     steps = ",".join([EVENTS, *STEPS["machine"]["bronze"]])
     return f"""WITH {steps}
 SELECT event_id, flow_rate, CASE WHEN k = 13 THEN 'not json' END AS unread,

@@ -244,7 +244,7 @@ def _closing(kind: str, layer: str) -> Query:
 
 
 def machine_unknown_fields(spark: SparkSession, folder: str) -> DataFrame:
-    """Fields outside the wire format, found in stored payloads and read by their paths, beside a typed column."""
+    """Fields that bronze has no column for, found in stored payloads and read by their paths, beside a typed column."""
     root = shared_folder(spark, "lake")
     sink = LakeSink(root)
     for batch_id, part in enumerate(slices(events_of(spark, folder), 2)):

@@ -22,7 +22,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from floorline.contracts import LAYERS
 from floorline.operators.gold import WATERMARK
-from floorline.operators.partials import EVENTS, KEYS, MAKES, gold_from_parts, measures, part_columns, windowed_measures
+from floorline.operators.partials import EVENTS, KEYS, LENGTHS, MAKES, gold_from_parts, measures, part_columns, windowed_measures
+from floorline.operators.series import MICROS
 from floorline.plans import layers
 from floorline.sinks.batch import current_batch
 from floorline.streaming.datasets import Dataset
@@ -38,47 +39,47 @@ OUTPUTS = {
 NAMES = tuple(MAKES)
 
 
+def window_micros(domain: str) -> int:
+    amount, unit = LENGTHS[domain].split()
+    return int(amount) * MICROS[unit.rstrip("s")]
+
+
 class OpenWindows(StatefulProcessor):
     """Per key: the part of each open window, by its start in microseconds."""
 
-    def __init__(self, key: str, measured: list[str], late_columns: list[str], columns: list[str]):
-        self.key, self.measured, self.late_columns, self.columns = key, measured, late_columns, columns
+    def __init__(self, key: str, length: int, measured: list[str], late_columns: list[str], columns: list[str]):
+        self.key, self.length, self.measured, self.late_columns, self.columns = key, length, measured, late_columns, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         numbers = [f"{name}_{kind} DOUBLE" for name in self.measured for kind in NAMES]
         self.handle = handle
-        self.windows = handle.getMapState("windows", "start BIGINT", ", ".join(["finish BIGINT", *numbers, f"{EVENTS} BIGINT"]))
-        self.timed = handle.getMapState("timed", "finish BIGINT", "start BIGINT")
+        self.windows = handle.getMapState("windows", "start BIGINT", ", ".join([*numbers, f"{EVENTS} BIGINT"]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
         for frame in rows:
-            finish = frame["window_end"].astype("datetime64[us]").astype("int64")
-            late = finish <= watermark
+            start = frame["window_start"].astype("datetime64[us]").astype("int64")
+            late = start + self.length <= watermark
             if late.any():
                 yield self.shaped(frame.loc[late, [self.key, *self.late_columns]].assign(**{KIND: LATE}))
-            self.add(frame[~late], finish[~late])
+            self.add(frame[~late], start[~late])
 
     def shaped(self, frame: pd.DataFrame) -> pd.DataFrame:
         """All columns of the output; those that ``frame`` has not are null, whatever their type."""
         return pd.DataFrame({name: frame[name] if name in frame else pd.Series(None, frame.index, object) for name in self.columns})
 
-    def add(self, frame: pd.DataFrame, finish: pd.Series) -> None:
-        start = frame["window_start"].astype("datetime64[us]").astype("int64")
-        grouped = frame[self.measured].groupby([start.rename("s"), finish.rename("f")])
+    def add(self, frame: pd.DataFrame, start: pd.Series) -> None:
+        grouped = frame[self.measured].groupby(start)
         counts, sums, low, high, size = grouped.count(), grouped.sum(), grouped.min(), grouped.max(), grouped.size()
         for window in size.index:
             part = [x for name in self.measured for x in (float(counts.at[window, name]), *self.numbers(window, name, counts, sums, low, high))]
-            begin, end = map(int, window)
-            before = self.windows.getValue((begin,))
-            if before is None:
-                self.handle.registerTimer(end // 1000)
-                self.timed.updateValue((end // 1000,), (begin,))
+            begin = (int(window),)
+            known = self.windows.getValue(begin)
+            if known is None:
+                self.handle.registerTimer((begin[0] + self.length) // 1000)
                 known = [None] * len(part) + [0]
-            else:
-                known = list(before)[1:]
             merged = [self.merge(NAMES[k % len(NAMES)], a, b) for k, (a, b) in enumerate(zip(known, part))]
-            self.windows.updateValue((begin,), (end, *merged, known[-1] + int(size[window])))
+            self.windows.updateValue(begin, (*merged, known[-1] + int(size[window])))
 
     @staticmethod
     def numbers(window, name, counts, sums, low, high) -> tuple:
@@ -93,13 +94,11 @@ class OpenWindows(StatefulProcessor):
         return min(a, b) if kind == "min" else max(a, b) if kind == "max" else a + b
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        expiry = (expiredTimerInfo.getExpiryTimeInMs(),)
-        begin = self.timed.getValue(expiry)
-        if begin is None:
-            return
-        end, *numbers = self.windows.getValue((begin[0],))
-        self.windows.removeKey((begin[0],))
-        self.timed.removeKey(expiry)
+        # A window ends on a whole millisecond, so its timer tells where it began.
+        end = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        begin = (end - self.length,)
+        numbers = self.windows.getValue(begin)
+        self.windows.removeKey(begin)
         names = [f"{name}_{kind}" for name in self.measured for kind in NAMES] + [EVENTS]
         row = {self.key: key[0], "window_start": pd.Timestamp(begin[0], unit="us"), "window_end": pd.Timestamp(end, unit="us"),
                KIND: CLOSED, **dict(zip(names, numbers))}
@@ -124,7 +123,7 @@ def closing_rows(silver: DataFrame, domain: str, watermark: str = WATERMARK) ->
         T.StructField("window_end", T.TimestampType()), *numbers,
         *(T.StructField(f"row_{name}", silver.schema[name].dataType) for name in own)])
     return rows.groupBy(key).transformWithStateInPandas(
-        OpenWindows(key, measured, late_columns, shape.fieldNames()), shape, "append", "EventTime")
+        OpenWindows(key, window_micros(domain), measured, late_columns, shape.fieldNames()), shape, "append", "EventTime")
 
 
 def closed_windows(rows: DataFrame, domain: str) -> DataFrame:

@@ -1,6 +1,6 @@
-"""Bronze with whole payloads: fields that the wire format does not name are kept.
+"""Bronze with whole payloads: fields that bronze has no column for are kept.
 
-Beside the typed columns a row has its payload as a VARIANT, so a field that
+Beside the typed columns, which take their pick of the wire format, a row has its payload as a VARIANT, so a field that
 producers add is stored from the first event on and can be read by its path before
 anybody has declared it.  Files hold the fields that most payloads share as columns of
 their own (shredded), so reading one path need not read the payloads.
@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from floorline.contracts import LAYERS, MACHINE_WIRE, WORKER_WIRE
-from floorline.operators.decode import leaf_types
+from floorline.contracts import LAYERS, MACHINE_BRONZE_FIELDS, WORKER_BRONZE_FIELDS
 from floorline.plans.layers import BRONZE
 from floorline.sinks.batch import Batch, current_batch
 from floorline.sinks.lake import LakeSink, read_lake
@@ -25,7 +24,7 @@ from floorline.streaming.pipelines import start_query
 
 PAYLOAD, UNREAD = "payload", "unread"
 EXTRA = (T.StructField(PAYLOAD, T.VariantType()), T.StructField(UNREAD, T.StringType()))
-WIRES = {"machine": MACHINE_WIRE, "worker": WORKER_WIRE}
+FIELDS = {"machine": MACHINE_BRONZE_FIELDS, "worker": WORKER_BRONZE_FIELDS}
 SHREDDING = ("spark.sql.variant.writeShredding.enabled", "spark.sql.variant.inferShreddingSchema")
 
 
@@ -37,7 +36,7 @@ class OpenDataset(Dataset):
         return (*LAYERS[self.domain, self.layer], PAYLOAD, UNREAD)
 
 
-TABLES = {domain: OpenDataset(domain, "bronze", "lake", f"bronze/{domain}_payload_data", None) for domain in WIRES}
+TABLES = {domain: OpenDataset(domain, "bronze", "lake", f"bronze/{domain}_payload_data", None) for domain in FIELDS}
 
 
 def open_bronze(raw: DataFrame, domain: str) -> DataFrame:
@@ -79,9 +78,9 @@ def leaves(kind: T.DataType, prefix: str = "") -> Iterator[tuple[str, str]]:
 
 
 def unknown_fields(rows: DataFrame, domain: str) -> dict[str, str]:
-    """Paths, with their types, that some payload has and the wire format has not; one row, the merged schema, comes to the driver."""
+    """Paths, with their types, that some payload has and bronze has no column for; one row, the merged schema, comes to the driver."""
     found = rows.agg(F.schema_of_variant_agg(PAYLOAD).alias("schema")).first().schema
-    known = {name for name, _ in leaf_types(T.StructType.fromDDL(WIRES[domain]))}
+    known = set(FIELDS[domain].values())
     merged = rows.sparkSession.createDataFrame([], f"payload {found.replace('OBJECT<', 'STRUCT<')}").schema[0].dataType if found else None
     return {path: kind for path, kind in leaves(merged) if path not in known} if merged is not None else {}
 
