@@ -370,6 +370,13 @@ def sketched_sql(domain: str, reading: str) -> str:
 SELECT date_trunc('day', "timestamp") AS bucket, count({reading}) AS readings, true AS close FROM silver WHERE {reading} IS NOT NULL GROUP BY 1"""
 
 
+def bulk_sql(domain: str, columns: str) -> str:
+    """An index's fields with times as documents hold them."""
+    shown = columns.replace('"timestamp"', """strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%gZ') AS "timestamp\"""").replace(
+        "event_date", "strftime(event_date, '%Y-%m-%d') AS event_date")
+    return layer_sql(domain, "silver", shown)
+
+
 def unknown_sql() -> str:
     """The one field of the payloads that bronze has no column for."""
     steps = ",".join([EVENTS, *STEPS["machine"]["bronze"]])
@@ -480,6 +487,8 @@ def oracle() -> dict[str, str]:
         "stream_late_events": closing_sql("too_late", COLUMNS["machine", "silver"]),
         "stream_machine_outcomes": outcomes_sql("machine"),
         "stream_worker_outcomes": outcomes_sql("worker"),
+        "machine_events_bulk": bulk_sql("machine", as_floats(f"{MACHINE_EVENT}, {MACHINE_EXTRA}")),
+        "worker_events_bulk": bulk_sql("worker", COLUMNS["worker", "silver"]),
         "machine_unknown_fields": unknown_sql(),
         "sketched_temperature": sketched_sql("machine", "temperature"),
         "sketched_heart_rate": sketched_sql("worker", "heart_rate"),

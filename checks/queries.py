@@ -26,6 +26,7 @@ from floorline.plans.layouts import relational_layout, search_layout
 from floorline.plans.views import VIEWS, local_time_view
 from floorline.session import pin_clock
 from floorline.sinks.batch import Batch
+from floorline.sinks.bulk import BulkSink, loaded, read_bulk
 from floorline.sinks.lake import LakeSink, compact, read_lake
 from floorline.streaming.closing import CLOSED, LATE, OUTPUTS
 from floorline.streaming.datasets import DATASETS, dataset
@@ -254,6 +255,23 @@ def machine_unknown_fields(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(stored.select("event_id", "flow_rate", "unread", *(field_at(path, kind).alias(path.replace(".", "_")) for path, kind in found)))
 
 
+def _bulk(index: str) -> Query:
+    """An index's documents as bulk files in batches, one of them written twice, and what an index holds after loading them."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root, target = shared_folder(spark, "bulk"), next(d for d in DATASETS if d.target == index)
+        sink, parts = BulkSink(root), list(enumerate(slices(events_of(spark, folder), 3)))
+        for batch_id, part in [*parts, parts[1 % len(parts)]]:
+            rows = layers.build_layer(PAYLOADS[target.domain](part), target.domain, target.layer)
+            sink.write(rows, target, Batch("bulk", batch_id))
+        kinds = {name: "STRING" if kind in ("timestamp", "date") else kind for name, kind in layer_of(spark, folder, target.domain, target.layer).dtypes}
+        types = ", ".join(f"{name} {kinds[name]}" for name in SEARCH_INDEXES[index])
+        found = loaded(read_bulk(spark, root, index)).select(F.from_json("document", types).alias("d")).select("d.*")
+        return comparable(search_layout(found, index))
+
+    return query
+
+
 def _outcomes(domain: str) -> Query:
     """Rows per outcome of the rules, as the stream has counted them while it wrote."""
 
@@ -326,6 +344,8 @@ def registered() -> dict[str, Query]:
         "stream_late_events": _closing(LATE, "silver"),
         "stream_machine_outcomes": _outcomes("machine"),
         "stream_worker_outcomes": _outcomes("worker"),
+        "machine_events_bulk": _bulk("machine-events"),
+        "worker_events_bulk": _bulk("worker-events"),
         "machine_unknown_fields": machine_unknown_fields,
         "sketched_temperature": _sketched_panel("median_temperature"),
         "sketched_heart_rate": _sketched_panel("median_heart_rate"),

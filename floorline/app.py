@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql.streaming import StreamingQuery  # noqa: E402
 
 from floorline.session import build_session  # noqa: E402
+from floorline.sinks.bulk import BulkSink  # noqa: E402
 from floorline.sinks.lake import LakeSink  # noqa: E402
 from floorline.sinks.relational import RelationalSink  # noqa: E402
 from floorline.sinks.search import SearchSink  # noqa: E402
 from floorline.sinks.topic import TopicSink  # noqa: E402
 from floorline.sources.raw import read_stream, read_topic  # noqa: E402
+from floorline.streaming.closing import start_closing  # noqa: E402
 from floorline.streaming.datasets import DATASETS, Dataset, dataset  # noqa: E402
 from floorline.streaming.pipelines import Sink, await_any, start_dataset, start_domain  # noqa: E402
 from floorline.streaming.workspace import stream_session  # noqa: E402
@@ -47,6 +49,9 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--database", help="JDBC URL")
     parser.add_argument("--connections", type=int, default=16, help="tasks that write to the database at a time")
     parser.add_argument("--search", help="search nodes, host[:port]")
+    parser.add_argument("--bulk", help="folder for search documents as bulk files, instead of --search")
+    parser.add_argument("--own-cadence", action="store_true", help="datasets of different cadences do not share a query")
+    parser.add_argument("--closed-windows", action="store_true", help="also store closed windows once, and late events, in the lake")
     parser.add_argument("--republish", action="store_true", help="send machine silver back to the brokers")
     parser.add_argument("--only", nargs="+", choices=[d.name for d in DATASETS],
                         help="run these datasets as queries of their own")
@@ -58,9 +63,13 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         parser.error("give either --servers or --files")
     if options.republish and not options.servers:
         parser.error("--republish needs --servers")
-    stores = {"lake": options.lake, "relational": options.database, "search": options.search, "topic": options.republish}
+    if options.search and options.bulk:
+        parser.error("give either --search or --bulk")
+    if options.closed_windows and not options.lake:
+        parser.error("--closed-windows needs --lake")
+    stores = {"lake": options.lake, "relational": options.database, "search": options.search or options.bulk, "topic": options.republish}
     if not any(stores.values()):
-        parser.error("give at least one of --lake, --database, --search and --republish")
+        parser.error("give at least one of --lake, --database, --search, --bulk and --republish")
     for wanted in map(dataset, options.only or ()):
         if wanted.domain not in options.domains:
             parser.error(f"{wanted.name} is not of the domains {' '.join(options.domains)}")
@@ -84,6 +93,8 @@ def sinks(options: argparse.Namespace) -> dict[str, Sink]:
     if options.search:
         host, _, port = options.search.partition(":")
         chosen["search"] = SearchSink(host, int(port or 9200))
+    if options.bulk:
+        chosen["search"] = BulkSink(options.bulk.rstrip("/"))
     if options.republish:
         chosen["topic"] = TopicSink(options.servers)
     return chosen
@@ -116,7 +127,9 @@ def start(session: SparkSession, options: argparse.Namespace) -> list[StreamingQ
             ]
         else:
             raw = source(session, options, domain)
-            queries += start_domain(raw, domain, stores, options.checkpoint, trigger(options))
+            queries += start_domain(raw, domain, stores, options.checkpoint, trigger(options), own_cadence=options.own_cadence)
+        if options.closed_windows:
+            queries.append(start_closing(source(session, options, domain), domain, stores["lake"], stores["lake"], options.checkpoint, trigger(options)))
     return queries
 
 

@@ -6,8 +6,9 @@ arbitrary state, gives a window out once, by an event-time timer, and sends late
 events to an output of their own: an event is either in exactly one closed or open
 window or among the late ones.
 
-A micro-batch of a key is aggregated in one pandas pass, so a key with many events
-costs a bounded batch and a few state accesses.
+A micro-batch of a key is aggregated in one pandas pass, and all windows of a key that
+a watermark closes are given out together, so a key with many events costs a bounded
+batch and a few state accesses per window.
 """
 
 from __future__ import annotations
@@ -95,14 +96,16 @@ class OpenWindows(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # A window ends on a whole millisecond, so its timer tells where it began.
-        end = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        begin = (end - self.length,)
-        numbers = self.windows.getValue(begin)
-        self.windows.removeKey(begin)
-        names = [f"{name}_{kind}" for name in self.measured for kind in NAMES] + [EVENTS]
-        row = {self.key: key[0], "window_start": pd.Timestamp(begin[0], unit="us"), "window_end": pd.Timestamp(end, unit="us"),
-               KIND: CLOSED, **dict(zip(names, numbers))}
-        yield self.shaped(pd.DataFrame([row]))
+        if self.windows.getValue((expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.length,)) is None:
+            return  # given out with an earlier timer
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        closed = [(begin[0], tuple(numbers)) for begin, numbers in self.windows.iterator() if begin[0] + self.length <= watermark]
+        for begin, _ in closed:
+            self.windows.removeKey((begin,))
+        starts = pd.Series([begin for begin, _ in closed], dtype="int64")
+        found = pd.DataFrame([numbers for _, numbers in closed], columns=[f"{name}_{kind}" for name in self.measured for kind in NAMES] + [EVENTS])
+        times = {name: pd.to_datetime(at, unit="us") for name, at in (("window_start", starts), ("window_end", starts + self.length))}
+        yield self.shaped(found.assign(**times, **{self.key: key[0], KIND: CLOSED}))
 
     def close(self) -> None:
         pass

@@ -107,26 +107,26 @@ def start_query(
 
 
 def start_stateless(
-    raw: DataFrame, domain: str, outputs: Outputs, checkpoint: str, trigger: Mapping | None = None
+    raw: DataFrame, domain: str, outputs: Outputs, checkpoint: str, trigger: Mapping | None = None, suffix: str = ""
 ) -> StreamingQuery:
     """Bronze, quarantine and silver datasets from one pass over the source."""
     write = _writer(lambda bronze: layers.stateless_layers(bronze, domain), outputs)
     bronze = counted(layers.bronze_layer(raw, domain), domain)
     return start_query(
         raw.sparkSession, bronze.writeStream.outputMode("append").foreachBatch(write),
-        f"{domain}_events", checkpoint, trigger,
+        f"{domain}_events{suffix}", checkpoint, trigger,
     )
 
 
 def start_gold(
-    raw: DataFrame, domain: str, outputs: Outputs, checkpoint: str, trigger: Mapping | None = None
+    raw: DataFrame, domain: str, outputs: Outputs, checkpoint: str, trigger: Mapping | None = None, suffix: str = ""
 ) -> StreamingQuery:
     """Gold datasets from one windowed state; changed windows are written again."""
     write = _writer(lambda gold: {"gold": gold}, outputs)
     gold = layers.build_layer(raw, domain, "gold", watermark=WATERMARK)
     return start_query(
         raw.sparkSession, gold.writeStream.outputMode("update").foreachBatch(write),
-        f"{domain}_gold", checkpoint, trigger,
+        f"{domain}_gold{suffix}", checkpoint, trigger,
     )
 
 
@@ -143,22 +143,29 @@ def start_domain(
     checkpoint: str,
     trigger: Mapping | None = None,
     datasets: Iterable[Dataset] = DATASETS,
+    own_cadence: bool = False,
 ) -> list[StreamingQuery]:
     """All datasets of a domain whose store has an entry in ``sinks``.
 
     ``trigger`` holds the arguments of ``DataStreamWriter.trigger``, e.g.
     ``{"processingTime": "2 seconds"}``.  Without it a query keeps the cadence of
     its datasets: theirs if they all have the same one, back to back otherwise,
-    as one pass serves them all and none may wait longer than it should.
+    as one pass serves them all and none may wait longer than it should.  With
+    ``own_cadence`` datasets of different cadences do not share a query, so each keeps
+    its own, at the price of a pass over the source, and of a gold state, per cadence.
     """
     outputs = [(d, sinks[d.store]) for d in datasets if d.domain == domain and d.store in sinks]
     stateless = [(d, sink) for d, sink in outputs if d.layer != "gold"]
     gold = [(d, sink) for d, sink in outputs if d.layer == "gold"]
     queries = []
-    if stateless:
-        queries.append(start_stateless(raw, domain, stateless, checkpoint, trigger or cadence(stateless)))
-    if gold:
-        queries.append(start_gold(raw, domain, gold, checkpoint, trigger or cadence(gold)))
+    for start, chosen in ((start_stateless, stateless), (start_gold, gold)):
+        if own_cadence and not trigger:
+            for step in sorted({d.trigger or "" for d, _ in chosen}):
+                own = [(d, sink) for d, sink in chosen if (d.trigger or "") == step]
+                # Names are also those of checkpoints, so the query without a cadence keeps its own.
+                queries.append(start(raw, domain, own, checkpoint, cadence(own), f"_{step.replace(' ', '_')}" if step else ""))
+        elif chosen:
+            queries.append(start(raw, domain, chosen, checkpoint, trigger or cadence(chosen)))
     return queries
 
 

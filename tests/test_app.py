@@ -6,7 +6,9 @@ import pytest
 from conftest import machine, worker
 
 from floorline import app
+from floorline.sinks.bulk import read_bulk
 from floorline.sinks.lake import read_lake
+from floorline.streaming.closing import LATE, OUTPUTS
 from floorline.streaming.workspace import stream_session
 
 
@@ -52,6 +54,20 @@ def test_single_datasets(spark, wire):
     assert read_lake(spark, f"{wire}/lake", "worker", "gold").first().avg_fatigue_score == 20
 
 
+def test_closed_windows_and_bulk_files(spark, wire):
+    options = app.parse([
+        "--files", f"{wire}/wire", "--lake", f"{wire}/lake", "--bulk", f"{wire}/bulk", "--checkpoint", f"{wire}/ck", "--once",
+        "--domains", "worker", "--closed-windows",
+    ])
+    queries = app.start(stream_session(spark, 2), options)
+    for query in queries:
+        query.awaitTermination()
+    assert [q.name for q in queries] == ["worker_events", "worker_gold", "worker_closing"]
+    assert read_bulk(spark, f"{wire}/bulk", "worker-events").count() == 2 and read_bulk(spark, f"{wire}/bulk", "worker-safety").count() == 1
+    late = read_lake(spark, f"{wire}/lake", "worker", "silver", target=OUTPUTS["worker"][LATE].target)
+    assert late.count() == 0 and (wire / "ck" / "worker_closing").is_dir()
+
+
 def test_sinks_follow_the_addresses(monkeypatch):
     monkeypatch.setenv("FLOORLINE_DB_USER", "me")
     monkeypatch.setenv("FLOORLINE_DB_PASSWORD", "secret")
@@ -88,7 +104,8 @@ def test_source_options_bound_the_batches(spark, wire):
     ["--lake", "l"], ["--servers", "a:1", "--files", "f", "--lake", "l"],
     ["--files", "f", "--lake", "l", "--republish"], ["--files", "f"],
     ["--files", "f", "--lake", "l", "--domains", "worker", "--only", "machine_gold_lake"],
-    ["--files", "f", "--lake", "l", "--only", "machine_gold_relational"],
+    ["--files", "f", "--lake", "l", "--only", "machine_gold_relational"], ["--files", "f", "--search", "h", "--bulk", "b"],
+    ["--files", "f", "--bulk", "b", "--closed-windows"],
     ["--files", "f", "--database", "jdbc:x"],
 ])
 def test_options_that_cannot_work_are_rejected(monkeypatch, arguments):

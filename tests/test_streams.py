@@ -249,6 +249,25 @@ def test_shared_queries_keep_a_common_cadence():
     assert cadence([(lake, None), (relational, None)]) is None and cadence([(lake, None)]) is None
 
 
+def test_datasets_can_keep_their_own_cadence(session, arrivals, tmp_path):
+    """Those of one cadence share a query; the trigger of a query is theirs."""
+    arrivals.add(worker())
+    stores = {"lake": Recorder(), "relational": Recorder(), "search": Recorder()}
+    queries = start_domain(arrivals.stream(session), "worker", stores, str(tmp_path / "ck"), own_cadence=True)
+    try:
+        assert [q.name for q in queries] == ["worker_events", "worker_events_2_seconds", "worker_gold"]
+        for query in queries:
+            query.processAllAvailable()
+        assert set(stores["relational"].batches) == {d.name for d in DATASETS if d.domain == "worker" and d.store == "relational"}
+        assert len(stores["lake"].rows("worker_bronze_lake")) == 1 == len(stores["search"].rows("worker_silver_search"))
+    finally:
+        for query in queries:
+            query.stop()
+    together = start_domain(arrivals.stream(session), "worker", stores, str(tmp_path / "ck2"), ONCE, own_cadence=True)
+    run(together)
+    assert [q.name for q in together] == ["worker_events", "worker_gold"]
+
+
 def test_a_sink_with_few_tasks_does_not_narrow_the_batch(session, arrivals, tmp_path):
     """Each payload is decoded in the batch's own partitions, once, before the sink merges them."""
     seen = []
