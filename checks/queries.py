@@ -6,7 +6,7 @@ shapes the result for comparison (``comparable``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +75,8 @@ def raw_of(spark: SparkSession, folder: str, domain: str) -> DataFrame:
     return PAYLOADS[domain](events_of(spark, folder))
 
 
-def layer_of(spark: SparkSession, folder: str, domain: str, layer: str) -> DataFrame:
-    return layers.build_layer(raw_of(spark, folder, domain), domain, layer)
+def layer_of(spark: SparkSession, folder: str, domain: str, layer: str, columns: Iterable[str] | None = None) -> DataFrame:
+    return layers.build_layer(raw_of(spark, folder, domain), domain, layer, columns=columns)
 
 
 def _layer(domain: str, layer: str) -> Query:
@@ -101,7 +101,7 @@ def _computed(domain: str, names: list[str], inputs: list[str]) -> Query:
     columns = {"machine": machine_columns, "worker": worker_columns}[domain]
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        rows = valid(layer_of(spark, folder, domain, "bronze"), RULES[domain])
+        rows = valid(layer_of(spark, folder, domain, "bronze", [*IDENTITY[domain], *inputs]), RULES[domain])
         shown = [name for name in IDENTITY[domain] + inputs if name not in names]
         computed = columns()
         return comparable(
@@ -140,8 +140,9 @@ def _view(view: str) -> Query:
 
 
 def _panel(name: str) -> Query:
-    domain, layer, _, _ = PANELS[name]
-    return lambda spark, folder: comparable(panel(layer_of(spark, folder, domain, layer), name))
+    domain, layer, _, reading = PANELS[name]
+    columns = None if layer == "gold" else [reading]
+    return lambda spark, folder: comparable(panel(layer_of(spark, folder, domain, layer, columns), name))
 
 
 def machine_silver_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,7 +289,7 @@ def _sketched_panel(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         domain, layer, ts, reading = PANELS[name]
         unit = {"machine": "machine_id", "worker": "worker_id"}[domain]
-        rows, stored = layer_of(spark, folder, domain, layer), shared_folder(spark, "sketches")
+        rows, stored = layer_of(spark, folder, domain, layer, [reading]), shared_folder(spark, "sketches")
         reading_sketches(rows, ts, reading, "1 hour", [unit]).write.parquet(stored)
         daily = sketched_series(spark.read.parquet(stored), "1 day", fill_empty=False)
         return comparable(rank_error(daily, rows, ts, reading, "1 day").select("bucket", "readings", (F.col("error") <= 0.0266).alias("close")))

@@ -49,9 +49,11 @@ def stateless_layers(bronze: DataFrame, domain: str) -> dict[str, DataFrame]:
     }
 
 
-def build_layer(raw: DataFrame, domain: str, layer: str, watermark: str | None = None) -> DataFrame:
-    """One layer straight from raw payloads."""
+def build_layer(raw: DataFrame, domain: str, layer: str, watermark: str | None = None,
+                columns: Iterable[str] | None = None) -> DataFrame:
+    """One layer straight from raw payloads; of a layer of events, with ``columns``, only these bronze columns and the rules' are parsed."""
     if layer == "gold":
         bronze = bronze_layer(raw, domain, GOLD_INPUTS[domain])
         return gold_layer(silver_layer(bronze, domain), domain, watermark)
-    return stateless_layers(bronze_layer(raw, domain), domain)[layer]
+    needed = None if columns is None else {*GOLD_INPUTS[domain], *columns}
+    return stateless_layers(bronze_layer(raw, domain, needed), domain)[layer]
