@@ -6,15 +6,18 @@ arbitrary state, gives a window out once, by an event-time timer, and sends late
 events to an output of their own: an event is either in exactly one closed or open
 window or among the late ones.
 
-A micro-batch of a key is aggregated in one pandas pass, and all windows of a key that
-a watermark closes are given out together, so a key with many events costs a bounded
-batch and a few state accesses per window.
+A key's windows are dealt to ``SPANS`` spans by their time, each a group of its own, so the
+tasks are not bounded by the keys.  A group's micro-batch is aggregated by numpy, state
+is read and written once per ``CHUNK`` windows and not per window, and all windows of a
+group that a watermark closes are given out together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,9 @@ OUTPUTS = {
     for domain in KEYS
 }
 NAMES = tuple(MAKES)
+MERGE = {"n": np.add, "sum": np.add, "min": np.minimum, "max": np.maximum}
+# Neighbouring windows of a state entry, and spans that a key's entries are dealt to, so that its work is not one task's.
+CHUNK, SPANS, SPAN = 512, 16, "span"
 
 
 def window_micros(domain: str) -> int:
@@ -45,67 +51,102 @@ def window_micros(domain: str) -> int:
     return int(amount) * MICROS[unit.rstrip("s")]
 
 
+def merged(starts: np.ndarray, parts: np.ndarray, events: np.ndarray) -> Open:
+    """One part per window of all that there are, windows in order; ``parts`` is kinds by rows by measures."""
+    order = np.argsort(starts, kind="stable")
+    ordered, events = starts[order], events[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    made = [MERGE[kind].reduceat(parts[k][order], first, axis=0) for k, kind in enumerate(NAMES)]
+    return Open(ordered[first], np.stack(made), np.add.reduceat(events, first))
+
+
+class Open(NamedTuple):
+    """Open windows: where they begin, in microseconds, their parts, and how many events each has."""
+
+    starts: np.ndarray
+    parts: np.ndarray
+    events: np.ndarray
+
+    def where(self, chosen: np.ndarray) -> Open:
+        return Open(self.starts[chosen], self.parts[:, chosen], self.events[chosen])
+
+    def stored(self) -> tuple[bytes, bytes, bytes]:
+        return tuple(np.ascontiguousarray(each).tobytes() for each in self)
+
+    @classmethod
+    def read(cls, value: tuple) -> Open:
+        starts, parts, events = (np.frombuffer(each, kind) for each, kind in zip(value, (np.int64, np.float64, np.int64)))
+        return cls(starts, parts.reshape(len(NAMES), len(starts), -1), events)
+
+
 class OpenWindows(StatefulProcessor):
-    """Per key: the part of each open window, by its start in microseconds."""
+    """Per key and span: the parts of the open windows, ``CHUNK`` neighbouring windows to a state entry.
+
+    An entry's timer is due when the first of its windows is.
+    """
 
     def __init__(self, key: str, length: int, measured: list[str], late_columns: list[str], columns: list[str]):
         self.key, self.length, self.measured, self.late_columns, self.columns = key, length, measured, late_columns, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        numbers = [f"{name}_{kind} DOUBLE" for name in self.measured for kind in NAMES]
         self.handle = handle
-        self.windows = handle.getMapState("windows", "start BIGINT", ", ".join([*numbers, f"{EVENTS} BIGINT"]))
+        self.windows = handle.getMapState("windows", "chunk BIGINT", "starts BINARY, parts BINARY, events BINARY")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
         for frame in rows:
-            start = frame["window_start"].astype("datetime64[us]").astype("int64")
+            start = frame["window_start"].astype("datetime64[us]").astype("int64").to_numpy()
             late = start + self.length <= watermark
             if late.any():
                 yield self.shaped(frame.loc[late, [self.key, *self.late_columns]].assign(**{KIND: LATE}))
-            self.add(frame[~late], start[~late])
+            if not late.all():
+                self.add(frame.loc[~late, self.measured].to_numpy(np.float64), start[~late])
 
     def shaped(self, frame: pd.DataFrame) -> pd.DataFrame:
         """All columns of the output; those that ``frame`` has not are null, whatever their type."""
         return pd.DataFrame({name: frame[name] if name in frame else pd.Series(None, frame.index, object) for name in self.columns})
 
-    def add(self, frame: pd.DataFrame, start: pd.Series) -> None:
-        grouped = frame[self.measured].groupby(start)
-        counts, sums, low, high, size = grouped.count(), grouped.sum(), grouped.min(), grouped.max(), grouped.size()
-        for window in size.index:
-            part = [x for name in self.measured for x in (float(counts.at[window, name]), *self.numbers(window, name, counts, sums, low, high))]
-            begin = (int(window),)
-            known = self.windows.getValue(begin)
-            if known is None:
-                self.handle.registerTimer((begin[0] + self.length) // 1000)
-                known = [None] * len(part) + [0]
-            merged = [self.merge(NAMES[k % len(NAMES)], a, b) for k, (a, b) in enumerate(zip(known, part))]
-            self.windows.updateValue(begin, (*merged, known[-1] + int(size[window])))
-
-    @staticmethod
-    def numbers(window, name, counts, sums, low, high) -> tuple:
-        if not counts.at[window, name]:
-            return None, None, None
-        return float(sums.at[window, name]), float(low.at[window, name]), float(high.at[window, name])
-
-    @staticmethod
-    def merge(kind: str, a: float | None, b: float | None) -> float | None:
-        if a is None or b is None:
-            return b if a is None else a
-        return min(a, b) if kind == "min" else max(a, b) if kind == "max" else a + b
+    def add(self, values: np.ndarray, start: np.ndarray) -> None:
+        known = ~np.isnan(values)
+        makes = {"n": known, "sum": np.where(known, values, 0), "min": np.where(known, values, np.inf), "max": np.where(known, values, -np.inf)}
+        fresh = merged(start, np.stack([makes[kind].astype(np.float64) for kind in NAMES]), np.ones(len(start), np.int64))
+        chunks = fresh.starts // (self.length * CHUNK)
+        for chunk in np.unique(chunks).tolist():
+            new, stored = fresh.where(chunks == chunk), self.windows.getValue((chunk,))
+            old = Open.read(stored) if stored else None
+            if old is None or new.starts[0] < old.starts[0]:
+                self.handle.registerTimer(self.end(new))
+            if old is not None:
+                new = merged(*(np.concatenate(pair, axis=axis) for pair, axis in zip(zip(old, new), (0, 1, 0))))
+            self.windows.updateValue((chunk,), new.stored())
+
+    def end(self, windows: Open) -> int:
+        """When the first of the windows ends, in milliseconds; windows end on whole ones."""
+        return (int(windows.starts[0]) + self.length) // 1000
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # A window ends on a whole millisecond, so its timer tells where it began.
-        if self.windows.getValue((expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.length,)) is None:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        stored = self.windows.getValue(((expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.length) // (self.length * CHUNK),))
+        if stored is None or self.end(Open.read(stored)) > watermark:
             return  # given out with an earlier timer
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        closed = [(begin[0], tuple(numbers)) for begin, numbers in self.windows.iterator() if begin[0] + self.length <= watermark]
-        for begin, _ in closed:
-            self.windows.removeKey((begin,))
-        starts = pd.Series([begin for begin, _ in closed], dtype="int64")
-        found = pd.DataFrame([numbers for _, numbers in closed], columns=[f"{name}_{kind}" for name in self.measured for kind in NAMES] + [EVENTS])
+        closed = []
+        for (chunk,), value in list(self.windows.iterator()):
+            windows = Open.read(value)
+            due = windows.starts + self.length <= watermark * 1000
+            if due.all():
+                self.windows.removeKey((chunk,))
+            elif due.any():
+                rest = windows.where(~due)
+                self.windows.updateValue((chunk,), rest.stored())
+                self.handle.registerTimer(self.end(rest))
+            closed.append(windows.where(due))
+        starts, events = np.concatenate([each.starts for each in closed]), np.concatenate([each.events for each in closed])
+        parts = np.concatenate([each.parts for each in closed], axis=1)
+        # A sum or extreme of no values is null; the number of values is the first kind.
+        parts = np.where((parts[NAMES.index("n")] > 0) | (np.array(NAMES) == "n")[:, None, None], parts, np.nan)
+        numbers = {f"{name}_{kind}": parts[k, :, m] for m, name in enumerate(self.measured) for k, kind in enumerate(NAMES)}
         times = {name: pd.to_datetime(at, unit="us") for name, at in (("window_start", starts), ("window_end", starts + self.length))}
-        yield self.shaped(found.assign(**times, **{self.key: key[0], KIND: CLOSED}))
+        yield self.shaped(pd.DataFrame({**numbers, EVENTS: events, **times, self.key: key[0], KIND: CLOSED}))
 
     def close(self) -> None:
         pass
@@ -125,8 +166,10 @@ def closing_rows(silver: DataFrame, domain: str, watermark: str = WATERMARK) ->
         T.StructField(KIND, T.StringType()), T.StructField(key, T.StringType()), T.StructField("window_start", T.TimestampType()),
         T.StructField("window_end", T.TimestampType()), *numbers,
         *(T.StructField(f"row_{name}", silver.schema[name].dataType) for name in own)])
-    return rows.groupBy(key).transformWithStateInPandas(
-        OpenWindows(key, window_micros(domain), measured, late_columns, shape.fieldNames()), shape, "append", "EventTime")
+    length = window_micros(domain)
+    spanned = rows.withColumn(SPAN, F.expr(f"pmod(unix_micros(window_start) div {length * CHUNK}, {SPANS})"))
+    return spanned.groupBy(key, SPAN).transformWithStateInPandas(
+        OpenWindows(key, length, measured, late_columns, shape.fieldNames()), shape, "append", "EventTime")
 
 
 def closed_windows(rows: DataFrame, domain: str) -> DataFrame:

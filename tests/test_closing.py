@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 import pytest
 from conftest import machine, worker
 
@@ -11,7 +12,7 @@ from floorline.operators.partials import KEYS
 from floorline.plans.layers import build_layer
 from floorline.sinks.lake import LakeSink, read_lake
 from floorline.sources.raw import read_stream
-from floorline.streaming.closing import CLOSED, LATE, OUTPUTS, start_closing
+from floorline.streaming.closing import CLOSED, LATE, OUTPUTS, OpenWindows, start_closing
 from floorline.streaming.workspace import stream_session
 
 ONCE = {"availableNow": True}
@@ -96,3 +97,60 @@ def test_a_failed_batch_is_given_out_again_once(spark, tmp_path, feed):
     assert [r.event_id for r in stored(spark, tmp_path, "machine", LATE).collect()] == ["10:00:30"]
     starts = [f"{r.window_start:%H:%M}" for r in stored(spark, tmp_path, "machine", CLOSED).collect()]
     assert sorted(starts) == ["10:00", "10:30", "10:40"]
+
+
+class Kept:
+    """State of one group in memory, with its accesses counted."""
+
+    def __init__(self):
+        self.entries, self.timers, self.accesses = {}, set(), 0
+
+    def getMapState(self, *_):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def getValue(self, key):
+        self.accesses += 1
+        return self.entries.get(key)
+
+    def updateValue(self, key, value):
+        self.accesses += 1
+        self.entries[key] = value
+
+    def removeKey(self, key):
+        del self.entries[key]
+
+    def iterator(self):
+        return iter(list(self.entries.items()))
+
+
+class Now:
+    def __init__(self, watermark):
+        self.watermark = watermark
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_state_is_accessed_per_entry_and_every_window_given_out_once():
+    minute, count = 60_000_000, 5_000
+    held, columns = Kept(), ["kind", "machine_id", "window_start", "window_end", "v_n", "v_sum", "v_min", "v_max", "events"]
+    windows = OpenWindows("machine_id", minute, ["v"], [], columns)
+    windows.init(held)
+    for value in (1.0, None, 4.0):
+        frame = pd.DataFrame({"machine_id": "m", "window_start": pd.to_datetime([k * minute for k in range(count)], unit="us"), "v": value})
+        assert not list(windows.handleInputRows(("m", 0), iter([frame.astype({"v": float})]), Now(0)))
+    assert held.accesses < count / 50
+    found, watermark = [], 0
+    # Two watermarks, the first in the middle of an entry: due timers fire in order, those set meanwhile with the next watermark.
+    for watermark in (1_300 * 60_000, (count + 1) * 60_000):
+        for at in sorted(t for t in held.timers if t <= watermark):
+            held.timers.discard(at)
+            found += list(windows.handleExpiredTimer(("m", 0), Now(watermark), Now(at)))
+    given = pd.concat(found)
+    assert len(found) == 2 and len(given) == count == given["window_start"].nunique() and not held.entries
+    assert set(zip(given["v_n"], given["v_sum"], given["v_min"], given["v_max"], given["events"])) == {(2.0, 5.0, 1.0, 4.0, 3)}
