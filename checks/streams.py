@@ -20,6 +20,8 @@ from floorline.streaming.workspace import shared_folder, stream_session
 # Starts of the streams, the arrivals each of them finds, and the files of an arrival; an arrival is a micro-batch.
 STARTS, ARRIVALS, FILES_PER_BATCH = 3, 2, 4
 SLICES = STARTS * ARRIVALS
+# Events of a file, at most; larger arrivals come as more files.
+FILE_EVENTS = 50_000
 WIRE_FILES = "event_id BIGINT, value BINARY"
 
 # How much earlier than it arrives an event of the late-data query happened.
@@ -31,9 +33,21 @@ def slices(events: DataFrame, count: int = SLICES) -> list[DataFrame]:
     first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
     if first is None:
         return [events]
-    width = last - first + 1
-    number = F.coalesce(F.expr(f"(event_id - {first}L) * {count} div {width}L"), F.lit(0))
-    return [events.where(number == i) for i in range(count)]
+    # Bounds of the ids themselves: a reader skips the row groups of other slices.
+    begins = [first - (-i * (last - first + 1) // count) for i in range(count + 1)]
+    event_id = F.col("event_id")
+    ranges = [(event_id >= a) & (event_id < b) if b <= last else event_id >= a for a, b in zip(begins, begins[1:])]
+    return [events.where(ranges[0] | event_id.isNull()), *map(events.where, ranges[1:])]
+
+
+def dealt(events: DataFrame, count: int) -> list[DataFrame]:
+    """Slices whose rows are dealt to all cores before documents are made of them: a file of few row groups is read by few tasks."""
+    return [part.hint("rebalance") for part in slices(events, count)]
+
+
+def arrival_files(events: DataFrame) -> int:
+    """Files of an arrival: so many that none is larger than the others and no task's work grows with the log."""
+    return max(FILES_PER_BATCH, -(-events.count() // (SLICES * FILE_EVENTS)))
 
 
 def feed(spark: SparkSession, events: DataFrame, domain: str, delay: str | None,
@@ -46,11 +60,12 @@ def feed(spark: SparkSession, events: DataFrame, domain: str, delay: str | None,
     """
     work = shared_folder(spark, f"{domain}-stream")
     session = stream_session(spark)
-    arriving = slices(events)
+    arriving, files = slices(events), arrival_files(events)
     for begin in range(0, len(arriving), ARRIVALS):
         for arrived in arriving[begin:begin + ARRIVALS]:
-            PAYLOADS[domain](arrived, delay).repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{work}/wire")
-        raw = read_stream(session, "parquet", {"maxFilesPerTrigger": FILES_PER_BATCH}, schema=WIRE_FILES, path=f"{work}/wire")
+            # The events are dealt out, not the documents, which are then built by as many tasks as there are files.
+            PAYLOADS[domain](arrived.repartition(files), delay).write.mode("append").parquet(f"{work}/wire")
+        raw = read_stream(session, "parquet", {"maxFilesPerTrigger": files}, schema=WIRE_FILES, path=f"{work}/wire")
         for query in start(raw, work):
             query.awaitTermination()
     return work

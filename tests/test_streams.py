@@ -298,3 +298,23 @@ def test_stream_session_leaves_the_caller_alone(spark):
 
 def test_raw_payloads_match_the_stream_source(spark):
     assert raw_of(spark, SMALL, "machine").count() == 1000
+
+
+def test_large_arrivals_come_as_more_files_and_stay_one_batch(spark, monkeypatch):
+    monkeypatch.setattr("checks.streams.FILE_EVENTS", 20)
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    files = -(-events.count() // (SLICES * 20))
+    root = run_slices(spark, events, "worker", {"silver"})
+    assert len(spark.read.parquet(f"{root.removesuffix('/lake')}/wire").inputFiles()) == SLICES * files > SLICES * FILES_PER_BATCH
+    stored = read_lake(spark, root, "worker", "silver", revisions=True)
+    assert stored.select("batch_id").distinct().count() == SLICES
+    assert stored.count() == layer_of(spark, SMALL, "worker", "silver").count()
+
+
+def test_slices_of_one_file_are_dealt_to_all_cores(spark):
+    from checks.streams import dealt
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    parts = dealt(events, 3)
+    assert sum(part.count() for part in parts) == events.count()
+    assert all("REBALANCE" in part._jdf.queryExecution().optimizedPlan().toString().upper() for part in parts)
