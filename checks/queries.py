@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.event_log import PAYLOADS
-from checks.streams import LATENESS, run_closing, run_counted, run_slices, slices
+from checks.streams import LATENESS, dealt, run_closing, run_counted, run_slices
 from floorline.contracts import MACHINE_SILVER, RELATIONAL_TABLES, SEARCH_INDEXES
 from floorline.functions.text import to_json_value
 from floorline.operators.enrich import machine_columns, worker_columns
@@ -200,7 +200,7 @@ def parquet_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     events = events_of(spark, folder)
     root = shared_folder(spark, "lake")
     target, sink = dataset("machine_bronze_lake"), LakeSink(root)
-    parts = list(enumerate(slices(events, 3)))
+    parts = list(enumerate(dealt(events, 3)))
     for batch_id, part in [*parts, parts[-1]]:
         bronze = layers.bronze_layer(PAYLOADS["machine"](part), "machine")
         sink.write(bronze, target, Batch("roundtrip", batch_id))
@@ -218,7 +218,7 @@ def lake_compaction_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     root = shared_folder(spark, "lake")
     target, sink = dataset("machine_bronze_lake"), LakeSink(root)
     closed = last_day(events, "ts")
-    for batch_id, part in enumerate(slices(events, 3)):
+    for batch_id, part in enumerate(dealt(events, 3)):
         sink.write(layers.bronze_layer(PAYLOADS["machine"](part), "machine"), target, Batch("compacted", batch_id))
         if batch_id and closed:
             compact(spark, root, "machine", "bronze", closed)
@@ -249,7 +249,7 @@ def machine_unknown_fields(spark: SparkSession, folder: str) -> DataFrame:
     """Fields that bronze has no column for, found in stored payloads and read by their paths, beside a typed column."""
     root = shared_folder(spark, "lake")
     sink = LakeSink(root)
-    for batch_id, part in enumerate(slices(events_of(spark, folder), 2)):
+    for batch_id, part in enumerate(dealt(events_of(spark, folder), 2)):
         write_open(open_bronze(PAYLOADS["machine"](part), "machine"), "machine", sink, Batch("payloads", batch_id))
     stored = read_open(spark, root, "machine")
     found = sorted(unknown_fields(stored, "machine").items())
@@ -261,7 +261,7 @@ def _bulk(index: str) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         root, target = shared_folder(spark, "bulk"), next(d for d in DATASETS if d.target == index)
-        sink, parts = BulkSink(root), list(enumerate(slices(events_of(spark, folder), 3)))
+        sink, parts = BulkSink(root), list(enumerate(dealt(events_of(spark, folder), 3)))
         for batch_id, part in [*parts, parts[1 % len(parts)]]:
             rows = layers.build_layer(PAYLOADS[target.domain](part), target.domain, target.layer)
             sink.write(rows, target, Batch("bulk", batch_id))
@@ -302,7 +302,7 @@ def _merged_gold(domain: str) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         parts = shared_folder(spark, f"{domain}-parts")
-        for part in slices(events_of(spark, folder), 3):
+        for part in dealt(events_of(spark, folder), 3):
             silver = layers.silver_layer(layers.bronze_layer(PAYLOADS[domain](part), domain, layers.GOLD_INPUTS[domain]), domain)
             gold_parts(silver, domain).write.mode("append").parquet(parts)
         return comparable(gold_from_parts(merge_parts(spark.read.parquet(parts), domain), domain))
