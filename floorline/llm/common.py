@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -157,3 +159,17 @@ class Words:
         sizes = np.bincount(self.text[keep], weights=(self.end - self.start + 1)[keep], minlength=len(self.count))
         ends = np.cumsum(sizes).astype(np.int64)
         return [data[a:max(a, b - 1)] for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())]
+
+
+class Numbers(defaultdict):
+    """Numbers given to words as they are asked for; ``fresh`` are those since ``settle``, in order."""
+
+    def __init__(self):
+        super().__init__(count().__next__)
+        self.settled = 0
+
+    def fresh(self) -> list:
+        return list(islice(reversed(self), len(self) - self.settled))[::-1]
+
+    def settle(self) -> None:
+        self.settled = len(self)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import collections
+import itertools
 import math
 
 import numpy as np
@@ -10,7 +11,7 @@ from llm_helpers import clashing, documents, words
 from pyspark.sql import functions as F
 
 from floorline.llm.common import mix
-from floorline.llm.segmentations import MODEL, Lattices, Sampler, Vocabulary, decode_pieces, inclusion, sample_segmentations
+from floorline.llm.segmentations import KEPT_WORDS, MODEL, Beginnings, Lattices, Sampler, Vocabulary, decode_pieces, inclusion, sample_segmentations
 
 
 @pytest.fixture(scope="module")
@@ -103,3 +104,33 @@ def test_empty_table_and_null_lists(spark):
     assert sample_segmentations(documents(spark)).count() == 0
     nothing = spark.createDataFrame([(1, None), (2, [])], "k int, ids array<int>")
     assert decode_pieces(nothing).select(F.col("decoded")).collect() == [(None,), ("",)]
+
+
+def test_kept_lattices_stay_small(vocabulary):
+    """All that a task may keep takes less than 100 MB, with the room to grow."""
+    lattices, n = Lattices(vocabulary), 20_000
+    parts = ["tion", "er", "shth", "an", "in", "edly", "re", "ou", "th", "ere", "on", "ent", "ing"]
+    made = list(dict.fromkeys("▁" + "".join(p) for p in itertools.product(parts, repeat=4)))[:n]
+    for k in range(0, n, 1000):
+        lattices.numbers(made[k:k + 1000])
+    assert len(lattices.number) == n
+    assert sum(room.nbytes for room in lattices.room.values()) * KEPT_WORDS / n < 100e6
+
+
+def test_first_steps_and_all_steps_give_the_same_samples(vocabulary):
+    """Looking at a few steps first, then at all where those do not settle it, changes no sample."""
+    texts = [["▁" + w for w in words(k, n, 10 ** 6)] for k, n in enumerate((1, 3, 40, 400))]
+    lattices, found = Lattices(vocabulary), []
+    numbers = lattices.numbers([w for own in texts for w in own])
+    for near in (1, 100, 10 ** 6):
+        sampler = type("Narrow", (Sampler,), {"NEAR": near})(lattices, numbers, np.array([len(t) for t in texts]), mix(np.arange(4).astype(np.uint64)), 4)
+        found.append([[(edges.tolist(), *rest) for edges, *rest in sampler.text(k)] for k in range(4)])
+    assert found[0] == found[1] == found[2] and len(found[0][3]) == 4
+
+
+def test_beginnings_are_found_by_their_hashes():
+    """Also those that share a place with others; what is not in the table is nowhere."""
+    hashes = np.r_[np.arange(1, 50), mix(np.arange(1, 3000))].astype(np.uint64)
+    table, pieces = Beginnings(hashes, np.arange(len(hashes), dtype=np.int32) - 1), np.arange(len(hashes)) - 1
+    assert (table.find(hashes) == pieces).all()
+    assert (table.find(mix(np.arange(5000, 9000))) == Beginnings.NOWHERE).all()
