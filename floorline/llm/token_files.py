@@ -6,17 +6,19 @@ import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from floorline.llm import wavelet
-from floorline.llm.common import opened, shuffle_partitions, slices, total_bytes
+from floorline.llm.common import Numbers, opened, shuffle_partitions, slices, total_bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -24,10 +26,16 @@ END_ID = 1
 SHARD_BYTES, KEPT_WORDS = 8 << 20, 600_000
 SUFFIX = ".wavelet"
 # Letters a-z and those of Latin-1, then marks: two pre-tokens of the tokenizer, whose model takes each as it is.
-PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?|%&#$*\"()]*)")
+PLAIN = rb"((?:[A-Za-z]++|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++)([.,;:!?|%&#$*\"()]*+)"
+# Words in a line each: the two parts of a plain one, or another one whole.
+LINES = re.compile(rb"^(?:" + PLAIN + rb"|([^\n]+))$", re.M)
 # Byte-level models spell a byte as a visible character: itself if it is one, else the next free one from U+0100 on.
 VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 SPELLED = {b: chr(b) for b in VISIBLE} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(VISIBLE)))}
+# The same by the byte's number, but for the line's end between parts.
+SPELLING = "".join("\n" if b == 10 else SPELLED[b] for b in range(256))
+
+TOKEN_ID = attrgetter("id")
 
 
 class WordEncoder:
@@ -35,7 +43,8 @@ class WordEncoder:
 
     The tokenizer drops white space before it forms pre-tokens, and none spans it,
     so a text's ids are its words' ids; each distinct word is encoded once.  A word
-    is one or two parts, and the ids of all parts lie one after another.
+    is one or two parts; each distinct part goes through the tokenizer once.  The
+    ids of all words lie one after another, and so do those of all parts.
     """
 
     def __init__(self, path: str):
@@ -44,57 +53,66 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.part_number: dict[bytes, int] = {b"": 0}
-        self.parts = np.zeros((0, 2), np.int32)
-        self.flat, self.lengths = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.number, self.part_number = Numbers(), Numbers()
+        for numbers in (self.number, self.part_number):
+            numbers[b""]  # number 0, of no ids
+            numbers.settle()
+        self.part_ids, self.part_ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+
+    def learn_parts(self, parts: list[bytes]) -> None:
+        """Letters or marks of plain words, and, after a space, other words."""
+        ids: list[int] = []
+        ends = []
+        plain = [p for p in parts if p[0] != 32]
+        lowered = b"\n".join(plain).decode().lower().encode().decode("latin-1").translate(SPELLING).split("\n")
+        odd = [p[1:].decode() for p in parts if p[0] == 32]
+        encoded = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False) if odd else ())
+        tokenize, spelled = self.model.tokenize, iter(lowered)
+        for part in parts:
+            ids += next(encoded).ids if part[0] == 32 else map(TOKEN_ID, tokenize(next(spelled)))
+            ends.append(len(ids))
+        self.part_ends = np.r_[self.part_ends, np.array(ends, np.int64) + len(self.part_ids)]
+        self.part_ids = np.r_[self.part_ids, np.array(ids, np.uint32)]
 
     def learn(self, words: list[bytes]) -> None:
-        known, ids, lengths, pairs, odd = self.part_number, [], [], [], []
-        for word in words:
-            plain = PLAIN.fullmatch(word)
-            if not plain:
-                # No plain part begins with a space, so these names are apart.
-                odd.append(word)
-                pairs.append((b" " + word, b""))
-                continue
-            pairs.append(plain.groups())
-            for part in pairs[-1]:
-                if part not in known:
-                    known[part] = len(known)
-                    text = part.decode().lower()
-                    own = self.model.tokenize(text if text.isascii() else "".join(map(SPELLED.__getitem__, text.encode())))
-                    ids += [t.id for t in own]
-                    lengths.append(len(own))
-        for word, encoding in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)):
-            known[b" " + word] = len(known)
-            ids += encoding.ids
-            lengths.append(len(encoding.ids))
-        for word in words:
-            self.number[word] = len(self.number)
-        self.parts = np.r_[self.parts, np.array([(known[a], known[b]) for a, b in pairs], np.int32)]
-        self.lengths = np.r_[self.lengths, np.array(lengths, np.int64)]
-        self.flat = np.r_[self.flat, np.array(ids, np.uint32)]
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        split = LINES.findall(b"\n".join(words))
+        # No plain part begins with a space, so the names of other words are apart.
+        pairs = [part for a, b, other in split for part in ((b" " + other, b"") if other else (a, b))]
+        at = np.fromiter(map(self.part_number.__getitem__, pairs), np.int64, len(pairs))
+        if len(self.part_number) > self.part_number.settled:
+            self.learn_parts(self.part_number.fresh())
+            self.part_number.settle()
+        ids, size = gathered(self.part_ids, self.part_ends, at)
+        self.ends = np.r_[self.ends, np.cumsum(size)[1::2] + len(self.ids)]
+        self.ids = np.r_[self.ids, ids]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, each closed by the end id, and how many each has."""
         if len(self.number) > KEPT_WORDS:
             self.clear()
-        split = [t.split() for t in texts]
-        words = [w for own in split for w in own]
-        fresh = [w for w in dict.fromkeys(words) if w not in self.number]
-        if fresh:
-            self.learn(fresh)
-        at = self.parts[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].ravel()
-        size = self.lengths[at]
-        starts = (np.cumsum(self.lengths) - self.lengths)[at]
-        counts = np.array([len(own) for own in split])
-        total = np.r_[0, np.cumsum(size)]
-        upto = total[2 * np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
-        ids = self.flat[np.repeat(starts - total[:-1], size) + np.arange(total[-1])]
+        split = pc.ascii_split_whitespace(texts)
+        counts = np.asarray(split.value_lengths())
+        # Arrow tells the words of these texts apart, so that only distinct ones are looked up.
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.binary()).to_pylist()
+        number = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        if len(self.number) > self.number.settled:
+            self.learn(self.number.fresh())
+            self.number.settle()
+        ids, size = gathered(self.ids, self.ends, number[np.asarray(words.indices)])
+        upto = np.r_[0, np.cumsum(size)][np.cumsum(counts)]
         return np.insert(ids, upto, END_ID), np.diff(np.r_[0, upto]) + 1
 
 
+def gathered(ids: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some of the lists that lie one after another, and how many each has."""
+    starts = ends[at]
+    size = ends[at + 1] - starts
+    total = np.cumsum(size)
+    return ids[np.repeat(starts - total + size, size) + np.arange(total[-1] if len(total) else 0)], size
+
+
 @lru_cache(maxsize=1)
 def encoder_of(path: str) -> WordEncoder:
     """One encoder per worker process; its memory is bounded and later tasks find it warm."""
@@ -124,7 +142,7 @@ def write_token_files(docs: DataFrame, folder: str, id_column: str = "doc_id", t
         ids, counts, tokens, missing = [], [], [], []
         for batch in batches:
             for a, b in slices(batch["text"]):
-                own, count = encoder.encode([t or b"" for t in batch["text"][a:b].cast(pa.binary()).to_pylist()])
+                own, count = encoder.encode(batch["text"][a:b].fill_null(""))
                 tokens.append(own.astype(kind))
                 counts.append(count)
                 missing.append(np.asarray(batch["id"][a:b].is_null()))

@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from llm_helpers import clashing, documents, words
 from tokenizers import Tokenizer
 
-from floorline.llm.token_files import occurrences, read_token_files, write_token_files
+from floorline.llm.token_files import KEPT_WORDS, VOCABULARY, WordEncoder, occurrences, read_token_files, write_token_files
 from floorline.llm.wavelet import WaveletMatrix, from_bytes, to_bytes
 from floorline.streaming.workspace import shared_folder
 
@@ -64,3 +65,23 @@ def test_wavelet_matrix_against_the_sequence():
             assert matrix.count(symbol) == (sequence == symbol).sum()
             assert (matrix.find(symbol) == np.flatnonzero(sequence == symbol)).all()
             assert matrix.count(symbol, n // 3, n) == (sequence[n // 3:] == symbol).sum()
+
+
+def test_words_with_common_parts_go_through_the_tokenizer_once():
+    """Parts of plain words are tokenized once, whatever marks follow and in whichever call they come first."""
+    encoder, asked = WordEncoder(public_tokenizers.path(VOCABULARY)), []
+
+    class Model:
+        def tokenize(self, text, model=encoder.model):
+            asked.append(text)
+            return model.tokenize(text)
+
+    encoder.model = Model()
+    texts = ["Écoute, écoute! a1 \x1c <|endoftext|>", "", "écoute (écoute) écoute, aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", " \n\v écoute! \f a1,\r\tù  "]
+    whole = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+    for some in ([0, 1], [2], [3], [], [0, 3, 1]):
+        ids, counts = encoder.encode(pa.array([texts[k] for k in some], pa.string()))
+        wanted = [whole.encode(texts[k], add_special_tokens=False).ids + [1] for k in some]
+        assert ids.tolist() == sum(wanted, []) and counts.tolist() == [len(w) for w in wanted]
+    # Two spellings of one word, two marks, and a word of one letter.
+    assert len(asked) == 5 and encoder.number.settled == len(encoder.number) < KEPT_WORDS
